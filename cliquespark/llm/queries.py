@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cliquespark.llm import packing
+from cliquespark.llm import linededup, packing, tokenfiles
 from cliquespark.llm.shared import documents
 
 
@@ -14,8 +14,34 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(documents(spark, sf_dir))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_digests(documents(spark, sf_dir))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.token_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_line_dedup": op2_line_dedup,
+    "op8_token_files": op8_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP2_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, line, pos, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
+), dup AS (
+  SELECT line_key, min(doc_id) AS first_doc FROM lines WHERE length(line_key) >= 10 GROUP BY line_key HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT l.doc_id, l.line, l.pos, coalesce(d.first_doc < l.doc_id, false) AS dropped FROM lines l LEFT JOIN dup d ON l.line_key = d.line_key
+)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN dropped THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+}
