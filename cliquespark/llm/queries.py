@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cliquespark.llm import linededup, packing, tokenfiles
+from cliquespark.llm import linededup, packing, quality, tokenfiles
 from cliquespark.llm.shared import documents
 
 
@@ -18,6 +18,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rows(documents(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_digests(documents(spark, sf_dir))
 
@@ -25,6 +29,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op8_token_files": op8_token_files,
 }
 
