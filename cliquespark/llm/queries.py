@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cliquespark.llm import linededup, packing, quality, tokenfiles
+from cliquespark.llm import decontamination, language, linededup, packing, quality, secrets, tokenfiles
 from cliquespark.llm.shared import documents
 
 
@@ -22,6 +23,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rows(documents(spark, sf_dir))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_rows(documents(spark, sf_dir))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_digests(documents(spark, sf_dir))
 
@@ -30,6 +43,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
 }
 
