@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliquespark.llm import decontamination, language, linededup, packing, quality, secrets, tokenfiles
+from cliquespark.llm import decontamination, language, linededup, neardup, packing, quality, secrets, tokenfiles
 from cliquespark.llm.shared import documents
 
 
@@ -39,6 +39,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.token_digests(documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 OP2_SQL = r"""
