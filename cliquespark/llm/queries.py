@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cliquespark.llm import decontamination, language, linededup, neardup, packing, quality, secrets, tokenfiles
+from cliquespark.llm import classifier, decontamination, language, linededup, neardup, packing, quality, secrets, tokencounts, tokenfiles
 from cliquespark.llm.shared import documents
 
 
@@ -19,6 +19,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_digests(documents(spark, sf_dir))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.count_tokens(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rows(documents(spark, sf_dir))
 
@@ -43,15 +47,21 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(documents(spark, sf_dir))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_dedup": op2_line_dedup,
+    "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_secret_scan": op6_secret_scan,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
     "op9_near_dedup": op9_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 OP2_SQL = r"""
