@@ -61,13 +61,33 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b if b in plain else next(others)) for b in range(256)}
 
 
+class Memo(dict):
+    """Packed ids by piece. Pieces not used since the last turn of generations are forgotten, so that two generations of about ``MEMO_PIECES`` are the most it holds."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if (found := self.older.get(piece)) is None:
+            found = self.encode(piece)
+            if len(piece) > MEMO_CHARS:
+                return found
+        self[piece] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > MEMO_PIECES:
+            self.older = dict(self)
+            self.clear()
+
+
 class PieceEncoder:
-    """Encodes texts to packed ids; each of two generations of the memo holds ``MEMO_PIECES`` at most."""
+    """Encodes texts to packed ids."""
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memo = Memo(self._alone)
         self.words: dict[str, bytes] = {}
         self.keeps_space = bool(self._ids("a b") != self._ids("a  b"))
         self.lowers = self._ids("A") == self._ids("a")
@@ -109,31 +129,15 @@ class PieceEncoder:
         lead = "" if not self.keeps_space or piece[:1] == "\n" else " "
         return pack_ids(self._ids(lead + piece))
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.memo) + len(pieces) > MEMO_PIECES:
-            self.older, self.memo = self.memo, {}
-        for p in pieces:
-            found = self.older.get(p)
-            self.memo[p] = self._alone(p) if found is None else found
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._pieces(t) for t in texts]
-        seen: set[str] = set().union(*[p for p in split if p is not None])
-        long = {p for p in seen if len(p) > MEMO_CHARS}
-        unknown = {p for p in seen if p not in self.memo and p not in long}
-        if unknown:
-            self._learn(unknown if len(self.memo) + len(unknown) <= MEMO_PIECES else seen - long)
-        get: Callable[[str], bytes] = self.memo.__getitem__
         out = []
-        for text, pieces in zip(texts, split, strict=True):
+        for text in texts:
+            pieces = self._pieces(text)
             if pieces is None:
                 out.append(pack_ids(self._ids(text)))
                 continue
-            if long and not long.isdisjoint(pieces):
-                packed = b"".join([self._alone(p) if p in long else get(p) for p in pieces])
-            else:
-                packed = b"".join(map(get, pieces))
-            out.append(packed[len(self.feed) :])
+            out.append(b"".join(map(self.memo.__getitem__, pieces))[len(self.feed) :])
+            self.memo.age()
         return out
 
 
