@@ -2,41 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cliquespark.sources.shipping import ship_package
+from cliquespark.sources.tables import materialize, shared_dir, shared_path
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Where the session names none (a local test session) a temporary folder is set once.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="cliquespark-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage at a table that survives the loss of any executor and
-    keeps an expensive plan from running twice.
-    """
-    path = shared_path(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+__all__ = ["documents", "materialize", "shared_dir", "shared_path", "ship_package", "texts"]
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
