@@ -235,4 +235,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
 def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, id_col: str = "doc_id") -> DataFrame:
     """All columns of the documents that hold no benchmark passage."""
     found = materialize(contaminated(docs, benchmark, least).select(F.col("doc_id").alias("hit__")).distinct(), "contaminated")
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("hit__")), "left_anti")
+    return docs.join(found, docs[id_col].cast("long").eqNullSafe(found["hit__"]), "left_anti")

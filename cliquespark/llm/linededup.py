@@ -248,16 +248,17 @@ def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, broadcast_byt
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """All columns of ``docs`` with the text less its repeated lines, and ``n_lines__`` and ``n_dropped__``."""
     drops = dropped_lines(texts(docs, id_col, text_col), least_chars, broadcast_bytes)
-    text = F.col(text_col).cast("string")
-    keyed = docs.withColumns({"doc__": F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_DOC)), "row__": F.xxhash64(text)})
-    joined = keyed.join(drops.select(F.col("doc").alias("doc__"), F.col("row").alias("row__"), F.col("drop").alias("drop__")), ["doc__", "row__"], "left")
-    lines = split_lines(text)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop__"))
+    # the row travels as one column, so that its names cannot clash with those of the join
+    plain = F.col(text_col).cast("string")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_DOC)).alias("doc"), F.xxhash64(plain).alias("row"), plain.alias("t"))
+    joined = keyed.join(drops, ["doc", "row"], "left")
+    lines = split_lines(F.col("t"))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
     # the array of one binds the lines to a name, so that they are split once per text and not once per line
     rest = F.transform(F.array(lines), lambda ls: F.array_join(F.transform(kept, lambda i: ls[i]), "\n"))[0]
-    joined = joined.withColumns({"n_lines__": F.size(lines).cast("long"), "n_dropped__": F.coalesce(F.size("drop__"), F.lit(0)).cast("long")})
-    joined = joined.withColumn(text_col, F.when(F.col("drop__").isNull(), F.coalesce(text, F.lit(""))).otherwise(rest))
-    return joined.select(*docs.columns, "n_lines__", "n_dropped__")
+    text = F.when(F.col("drop").isNull(), F.coalesce("t", F.lit(""))).otherwise(rest)
+    columns = [text.alias(c) if c == text_col else F.col("r")[c].alias(c) for c in docs.columns]
+    return joined.select(*columns, F.size(lines).cast("long").alias("n_lines__"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped__"))
 
 
 def line_digests(docs: DataFrame) -> DataFrame:

@@ -257,4 +257,4 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """All columns of the documents that name their class: one of each group stays."""
     found = classes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), similarity)
     gone = materialize(found.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone__")).distinct(), "near-copies")
-    return docs.join(gone, docs[id_col].cast("long") == F.col("gone__"), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long") == gone["gone__"], "left_anti")

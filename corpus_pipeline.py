@@ -15,8 +15,8 @@ from cliquespark.llm.shared import documents, materialize
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    rejected = materialize(quality.judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone__")), "rejected")
-    return docs.join(rejected.distinct(), docs["doc_id"].cast("long").eqNullSafe(F.col("gone__")), "left_anti")
+    rejected = materialize(quality.judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone__")).distinct(), "rejected")
+    return docs.join(rejected, docs["doc_id"].cast("long").eqNullSafe(rejected["gone__"]), "left_anti")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
