@@ -125,7 +125,7 @@ def normalize_ic(spark, d):
 def conflated_sql(names: str) -> str:
     return (
         f"WITH {BASE}, {CONF.format(names=names)} SELECT f.curie, coalesce(w.identifier, f.canonical_id) AS preferred_id, CASE WHEN w.canonical_id IS NULL THEN c.label ELSE l.label END AS preferred_label, "
-        "coalesce(w.n_equiv, c.n_equiv) AS n_equiv, coalesce(w.equivalents, c.equivalents) AS equivalents, coalesce(o.types, t.types) AS types, CAST(c.ic AS DOUBLE) AS information_content "
+        "coalesce(w.n_equiv, c.n_equiv, 0) AS n_equiv, coalesce(w.equivalents, c.equivalents) AS equivalents, coalesce(o.types, t.types) AS types, CAST(c.ic AS DOUBLE) AS information_content "
         "FROM found f LEFT JOIN clique c ON c.canonical_id = f.canonical_id LEFT JOIN types t ON t.type = c.type LEFT JOIN whole w ON w.canonical_id = f.canonical_id "
         "LEFT JOIN types_of o ON o.canonical_id = f.canonical_id LEFT JOIN labels_of l ON l.canonical_id = f.canonical_id"
     )
@@ -135,7 +135,7 @@ def conflated(names: list[str]) -> Query:
     def query(spark, d):
         nodes = asked(spark, d, conflations=names)
         return nodes.select(
-            "curie", F.col("identifier").alias("preferred_id"), F.col("label").alias("preferred_label"), F.when(F.col("identifier").isNotNull(), F.size("equivalent_identifiers")).cast("long").alias("n_equiv"),
+            "curie", F.col("identifier").alias("preferred_id"), F.col("label").alias("preferred_label"), F.when(F.col("identifier").isNotNull(), F.size("equivalent_identifiers")).otherwise(0).cast("long").alias("n_equiv"),
             joined(F.transform("equivalent_identifiers", lambda x: x["identifier"])).alias("equivalents"), joined("types").alias("types"), "information_content",
         )
 
