@@ -73,12 +73,8 @@ def csv_record(rows: DataFrame, curie: Column) -> DataFrame:
     )
 
 
-def mapped_rows(rows: DataFrame, position: str = "pos") -> DataFrame:
-    """Rows with ``curie``, their class, and the number of mapped rows of their type before them.
-
-    The count needs one order per type; a type may hold most rows, so it is taken as per-bucket counts of
-    consecutive positions that are summed first.
-    """
+def mapped_rows(rows: DataFrame) -> DataFrame:
+    """Rows with ``curie`` (null where none is known) and ``class``."""
     return rows.withColumn("curie", map_by_source()).withColumn("class", F.coalesce(looked_up(NODE_CLASSES, F.coalesce("node_type", F.lit(""))), F.lit(NAMED_THING)))
 
 

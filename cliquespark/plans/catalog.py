@@ -109,7 +109,7 @@ def query_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bindings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A result per order and customer segment: nodes ``s`` and ``o`` are the lines' ends, edges ``e`` the lines."""
+    """A result per order: nodes ``s`` and ``o`` are the lines' ends, edges ``e`` the lines."""
     e = edges(spark, sf_dir)
     order = F.split("edge_id", "-")[0].cast("long")
     base = e.select("msg_id", order.alias("result_pos"), "edge_id", "subject", "object")

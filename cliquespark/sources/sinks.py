@@ -23,8 +23,6 @@ def write_index(index: Index, folder: str, partitions: int | None = None, dry_ru
         writer = df.write.mode("overwrite")
         if name == "conflation":
             writer = writer.partitionBy("name")
-        if name == "prefix_counts":
-            writer = writer.partitionBy("file_idx") if "file_idx" in df.columns else writer
         writer.parquet(f"{folder}/{name}")
     return read_index(spark, folder)
 
