@@ -110,6 +110,14 @@ def test_no_python_on_the_lookup_path(spark, index):
     assert "EvalPython" not in plan.split("InMemoryRelation")[0]
 
 
+# The numbers of a published set of a hundred unknown identifiers.
+HUNDRED = """
+    10111 10444 11018 11207 11304 11782 12572 13051 13237 14093 15815 15816 16589 17439 18228 18425 19841 21080 21874 23971
+    24788 27338 27651 28744 29904 29972 31799 32169 33554 35060 36508 36822 36823 37847 37939 38292 39315 40687 42114 46486
+    47029 48712 50159 50607 52910 52926 54177 56239 57302 58851 59644 59711 60525 61006 62554 63257 64822 65196 68589 68594
+    68679 69092 70919 71057 71390 71720 71911 72510 73285 73348 74530 74772 75316 75654 75665 76080 76813 79128 79791 80884
+    81324 81351 82342 84666 84725 87724 88546 93274 93668 94750 95196 95403 95994 97287 97410 97930 98753 98994 99397 99691
+""".split()
 REQUEST = "key int, curies array<string>, conflations array<string>"
 
 
@@ -121,12 +129,13 @@ def sets(spark, index, *requests):
 def test_published_set_identifiers(spark, index):
     first = ["DOID:3812", "MONDO:0005002", "MONDO:0005003", "UNII:63M8RYN44N", ""]
     odd = ["!#lk1l4", "09s90ma!:391nasa01AAa", "10.31", "9018", "-913"]
-    rubbish = [f"RUBBISH:{n}" for n in range(1, 101)]
+    rubbish = [f"RUBBISH:{n}" for n in reversed(HUNDRED)]
     got = sets(spark, index, (first, [GP]), (first, [GP, DC]), (odd, [GP, DC]), (rubbish, None), (first, ["DrugChemic"]), (["X:9", "X:9"], []))
     assert got[0]["normalized_string"] == "||MONDO:0005002||MONDO:0005003||PUBCHEM.COMPOUND:10129877"
     assert got[0]["setid"] == "uuid:08da0da0-4b47-55e6-b9b2-73ead9921494"
     assert got[1]["setid"] == "uuid:4b54135a-a151-561b-8b25-8a5a5b710700"
     assert got[2]["setid"] == "uuid:2fe78021-4a98-53cc-b911-a55962575095"
+    assert got[3]["setid"] == "uuid:c81cd168-996a-5ca7-8107-2c82c36232fe"
     assert got[4]["setid"] is None and setid.ERROR in got[4]["error"]
     assert got[5]["normalized_string"] == "X:9||X:9"
 
