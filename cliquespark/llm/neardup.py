@@ -186,13 +186,13 @@ def sketch_table(docs: DataFrame, sketches: int, picked: int) -> DataFrame:
 
 
 def words_of(docs: DataFrame) -> DataFrame:
-    """``id, words``: packed 64-bit word hashes."""
+    """``id, words``: packed word hashes, of 32 bits here, since only words of two texts are compared with them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in range(0, batch.num_rows, 2_000):
                 rows = batch.slice(part, 2_000)
-                packed = [word_hashes(t.as_py() or "").tobytes() for t in rows["text"]]
+                packed = [word_hashes(t.as_py() or "").astype(np.uint32).tobytes() for t in rows["text"]]
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(packed, pa.binary())], names=["id", "words"])
 
     return docs.mapInArrow(run, "id long, words binary")
@@ -203,7 +203,7 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = [alike(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64), similarity) for a, b in zip(batch["words"], batch["pivot_words"], strict=True)]
+            linked = [alike(np.frombuffer(a.as_py(), np.uint32), np.frombuffer(b.as_py(), np.uint32), similarity) for a, b in zip(batch["words"], batch["pivot_words"], strict=True)]
             yield pa.RecordBatch.from_arrays([batch["id"], batch["pivot"], pa.array(linked, pa.bool_())], names=["id", "pivot", "linked"])
 
     joined = pairs.join(words, "id").join(words.select(F.col("id").alias("pivot"), F.col("words").alias("pivot_words")), "pivot")
@@ -211,13 +211,13 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
 
 
 def with_pivots(members: DataFrame) -> DataFrame:
-    """Members (``slot, value, id, n``) of sets of two and more with the ``pivot`` of their set and its length.
+    """Members (``value, id, n``) of sets of two and more with the ``pivot`` of their set and its length.
 
     The minimum per set combines before the shuffle, and the join back can be split where one
     set holds a great part of all rows.
     """
-    chosen = members.groupBy("slot", "value").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id"), F.col("n"))).alias("p")).filter("size > 1")
-    return members.join(chosen.select("slot", "value", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n")), ["slot", "value"])
+    chosen = members.groupBy("value").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id"), F.col("n"))).alias("p")).filter("size > 1")
+    return members.join(chosen.select("value", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n")), "value")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, picked: int = PICKED, rounds: int = ROUNDS) -> DataFrame:
@@ -225,7 +225,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKE
     docs = texts(docs)
     table = materialize(sketch_table(docs, sketches, picked), "sketches")
     texts_ = table.filter("doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    members = texts_.select("id", "n", F.posexplode("sketch").alias("slot", "value"))
+    # a sketch's value starts from its number, so that the value alone tells the sketches apart
+    members = texts_.select("id", "n", F.explode("sketch").alias("value"))
     dealt = materialize(with_pivots(members), "dealt")
 
     words, links, tested = None, None, None
@@ -238,13 +239,14 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKE
         pairs = materialize(pairs, "pairs")
         if words is None:  # of every text that shares a sketch, for all rounds
             wanted = dealt.select(F.col("id").alias("doc_id")).distinct()
-            words = materialize(words_of(docs.join(wanted, "doc_id", "left_semi")), "words")
+            # the ids grow with the corpus, so both sides are dealt by id at every size
+            words = materialize(words_of(docs.join(wanted.hint("merge"), "doc_id", "left_semi")), "words")
         judged = materialize(verify(pairs, words, similarity), "judged")
         found = judged.filter("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
         links = found if links is None else links.unionByName(found)
         tested = judged.select("id", "pivot") if tested is None else tested.unionByName(judged.select("id", "pivot"))
         failed = dealt.filter("id <> pivot").join(judged.filter("linked").select("id", "pivot"), ["id", "pivot"], "left_anti")
-        dealt = materialize(with_pivots(failed.select("slot", "value", "id", "n")), "dealt")
+        dealt = materialize(with_pivots(failed.select("value", "id", "n")), "dealt")
         if dealt.isEmpty():
             break
 
