@@ -6,12 +6,15 @@ sketch with a probability that falls with their edit distance, not only with the
 vocabulary. Texts that share one of the sketches are candidates. Exact copies (same words)
 are one text from the start.
 
-Within a set of texts that share a sketch, each is aligned with the set's pivot only, so the
-work is linear in the set however large it is; the pivot is the text with the smallest hash, so
-the same pivots serve in most sets of a group. Texts that fail against their pivot are dealt
-again among those that failed, with a new pivot. A candidate is linked if the edit distance in
-words, found inside the band that the threshold allows, leaves a similarity of 0.8 or more.
-Classes are the connected components of the links, named by their smallest ``doc_id``.
+Within a set of texts that share a sketch, each is first aligned with the set's pivot; the
+pivot is the text with the smallest hash, so the same pivots serve in most sets of a group. A
+set whose texts are then all in one component is settled, which is linear however large it is.
+In every other set each two texts of different components are compared, once over all sets:
+those outside the set's largest component with one another and with its members, by blocks of
+a bounded number of texts. A count of common words rules most pairs out before alignment. A
+candidate is linked if the edit distance in words, found inside the band that the threshold
+allows, leaves a similarity of 0.8 or more. Classes are the connected components of the links,
+named by their smallest ``doc_id``.
 
 Defined results: documents without a word (null or empty) are one class; shorter ones than five
 words are in a class with copies only; rows that repeat a ``doc_id`` are one document; a null
@@ -38,8 +41,10 @@ SIMILARITY = 0.8
 #: Sketches per text, and shingles in each: a pair with shingle similarity s shares one with probability 1 - (1 - s**PICKED)**SKETCHES.
 SKETCHES = 24
 PICKED = 3
-#: Times that texts which fail against their pivot are dealt a new one.
-ROUNDS = 3
+#: Texts of a set in a block; two blocks are compared in one call.
+BLOCK = 256
+#: Counters of words that bound the distance of two texts from below.
+COUNTERS = 1024
 WORD = re.compile(r"\w+")
 MEMO_WORDS = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -220,7 +225,81 @@ def with_pivots(members: DataFrame) -> DataFrame:
     return members.join(chosen.select("value", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n")), "value")
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, picked: int = PICKED, rounds: int = ROUNDS) -> DataFrame:
+def unsettled(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """``value, id, comp`` of sets whose texts are in several components, with ``most``, the largest of these there, and the numbers of texts in it and outside."""
+    named = members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("star")), "id", "left").select("value", "id", F.coalesce("star", "id").alias("comp"))
+    sizes = named.groupBy("value", "comp").agg(F.count("*").alias("size"))
+    sets = sizes.groupBy("value").agg(F.count("*").alias("comps"), F.sum("size").alias("all"), F.max(F.struct("size", "comp")).alias("m")).filter("comps > 1")
+    return named.join(sets.select("value", F.col("m.comp").alias("most"), F.col("m.size").alias("inner"), (F.col("all") - F.col("m.size")).alias("outer")), "value")
+
+
+def block_pairs(rest: DataFrame, block: int) -> DataFrame:
+    """Each text of an unsettled set once per pair of blocks that it is in: ``value, i, j, id, comp, side``.
+
+    The texts outside the largest component are dealt to blocks, each of which meets itself, the
+    others and the blocks of the largest component. Side 2 stands for a block that meets itself.
+    """
+    many = lambda n: F.ceil(F.col(n) / F.lit(block)).cast("int")
+    inner = F.col("comp") == F.col("most")
+    at = F.when(inner, F.col("r") + F.pmod(F.xxhash64("id"), F.col("c")).cast("int")).otherwise(F.pmod(F.xxhash64("id"), F.col("r")).cast("int"))
+    dealt = rest.withColumns({"r": many("outer"), "c": many("inner")}).withColumn("at", at)
+    with_ = F.sequence(F.lit(0), F.when(inner, F.col("r") - 1).otherwise(F.col("r") + F.col("c") - 1))
+    met = dealt.select("value", "id", "comp", "at", F.explode(with_).alias("o"))
+    side = F.when(F.col("at") == F.col("o"), 2).when(F.col("at") < F.col("o"), 0).otherwise(1)
+    return met.select("value", F.least("at", "o").alias("i"), F.greatest("at", "o").alias("j"), "id", "comp", side.alias("side"))
+
+
+def counters(words: list[np.ndarray]) -> np.ndarray:
+    """Occurrences of words by hash: what two rows have in common is at least what the texts have in common."""
+    out = np.zeros((len(words), COUNTERS), np.int32)
+    for k, w in enumerate(words):
+        out[k] = np.bincount(w % COUNTERS, minlength=COUNTERS)
+    return out.astype(np.uint8 if out.size and out.max() < 256 else np.int32)
+
+
+def block_links(value: int, ids: list[int], comps: list[int], sides: np.ndarray, words: list[np.ndarray], held: list[list[int]], similarity: float) -> list[tuple[int, int]]:
+    """Links between texts of different components; a pair of several sets belongs to the one of the smallest value."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    sizes, table = np.array([len(w) for w in words]), counters(words)
+    shared = [set(h) for h in held]
+    left, right = np.flatnonzero(sides != 1), np.flatnonzero(sides != 0)
+    comp, found = np.array(comps), []
+    for a in left:
+        others = right[(right > a) | (sides[right] == 1)]
+        others = others[comp[others] != comp[a]]
+        longest = np.maximum(sizes[others], sizes[a])
+        band = ((1 - similarity) * longest + 1e-9).astype(np.int64)
+        near = np.abs(sizes[others] - sizes[a]) <= band
+        others, longest, band = others[near], longest[near], band[near]
+        common = np.minimum(table[others], table[a]).sum(axis=1, dtype=np.int64)
+        for b in others[longest - common <= band]:
+            p, q = root(comps[a]), root(comps[b])
+            if p != q and min(shared[a] & shared[b]) == value and alike(words[a], words[b], similarity):
+                parent[max(p, q)] = min(p, q)
+                found.append((ids[a], ids[b]))
+    return found
+
+
+def compare_blocks(pairs: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: the links of ``value, i, j, id, comp, side, held, words``."""
+
+    def run(group: pa.Table) -> pa.Table:
+        words = [np.frombuffer(w.as_py(), np.uint32) for w in group["words"]]
+        found = block_links(group["value"][0].as_py(), group["id"].to_pylist(), group["comp"].to_pylist(), np.array(group["side"].to_pylist()), words, group["held"].to_pylist(), similarity)
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return pairs.groupBy("value", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, picked: int = PICKED, block: int = BLOCK) -> DataFrame:
     """``doc_id, class_id``: one row per document."""
     docs = texts(docs)
     table = materialize(sketch_table(docs, sketches, picked), "sketches")
@@ -229,28 +308,20 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKE
     members = texts_.select("id", "n", F.explode("sketch").alias("value"))
     dealt = materialize(with_pivots(members), "dealt")
 
-    words, links, tested = None, None, None
-    for _ in range(rounds):
-        # the similarity cannot be reached if one text is too short for the other
-        close = F.least("n", "pivot_n") >= similarity * F.greatest("n", "pivot_n") - 1e-9
-        pairs = dealt.filter("id <> pivot").filter(close).select("id", "pivot").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["id", "pivot"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        if words is None:  # of every text that shares a sketch, for all rounds
-            wanted = dealt.select(F.col("id").alias("doc_id")).distinct()
-            # the ids grow with the corpus, so both sides are dealt by id at every size
-            words = materialize(words_of(docs.join(wanted.hint("merge"), "doc_id", "left_semi")), "words")
-        judged = materialize(verify(pairs, words, similarity), "judged")
-        found = judged.filter("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-        links = found if links is None else links.unionByName(found)
-        tested = judged.select("id", "pivot") if tested is None else tested.unionByName(judged.select("id", "pivot"))
-        failed = dealt.filter("id <> pivot").join(judged.filter("linked").select("id", "pivot"), ["id", "pivot"], "left_anti")
-        dealt = materialize(with_pivots(failed.select("value", "id", "n")), "dealt")
-        if dealt.isEmpty():
-            break
-
-    stars = components(links)
+    # the similarity cannot be reached if one text is too short for the other
+    close = F.least("n", "pivot_n") >= similarity * F.greatest("n", "pivot_n") - 1e-9
+    pairs = materialize(dealt.filter("id <> pivot").filter(close).select("id", "pivot").distinct(), "pairs")
+    wanted = dealt.select(F.col("id").alias("doc_id")).distinct()
+    # the ids grow with the corpus, so both sides are dealt by id at every size
+    words = materialize(words_of(docs.join(wanted.hint("merge"), "doc_id", "left_semi")), "words")
+    judged = materialize(verify(pairs, words, similarity), "judged")
+    stars = components(judged.filter("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+
+    rest = materialize(unsettled(dealt.select("value", "id"), stars), "unsettled")
+    held = rest.groupBy("id").agg(F.collect_list("value").alias("held"))
+    compared = block_pairs(rest, block).join(held.join(words, "id"), "id")
+    links = materialize(compare_blocks(compared, similarity), "compared")
+    stars = components(stars.unionByName(links))
     named = texts_.select("k1", "k2", "id").join(stars.select(F.col("a").alias("id"), F.col("b").alias("least")), "id", "left").select("k1", "k2", F.coalesce("least", "id").alias("class_id"))
     return table.select("doc_id", "k1", "k2").join(named, ["k1", "k2"], "left").select("doc_id", "class_id")
 

@@ -121,3 +121,32 @@ def test_near_copies_of_odd_rows(spark, odd, empty):
 def test_repeated_occurrences_are_told_apart():
     a = N.labelled_shingles(np.tile(np.arange(1, 6, dtype=np.uint64), 4))
     assert len(set(a.tolist())) == len(a)
+
+
+def test_texts_that_fail_their_pivot_meet_the_linked_ones(spark):
+    """Chains: A-B and B-C are near, A-C is not, whichever of them is the pivot."""
+    rows = []
+    for g in range(40):
+        words = prose(2_000 + g, 150).split()
+        for k in range(6):
+            # each text replaces another tenth of the template in one place, so that ends keep long common runs
+            rows.append((10 * g + k, " ".join([f"new{g}x{i}" if i < 12 * k else w for i, w in enumerate(words)])))
+    got = {r["doc_id"]: r["class_id"] for r in N.classes(frame(spark, rows)).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_groups_that_share_a_template_against_brute_force(spark):
+    """More texts than a block holds, most pairs of them too far apart."""
+    r = random.Random(8)
+    template, rows = prose(3_000, 150).split(), []
+    for k in range(40):
+        own = [w if 30 < i < 110 or r.random() < 0.5 else f"own{k}x{i}" for i, w in enumerate(template)]
+        rows += [(1_000 * k + c, " ".join(w if r.random() > 0.07 else f"edit{k}x{c}x{i}" for i, w in enumerate(own))) for c in range(5)]
+    candidates = lambda a, b: set(N.order_sketches(N.word_hashes(a))) & set(N.order_sketches(N.word_hashes(b)))
+    expected = {d: d for d, _ in rows}
+    for (a, x), (b, y) in itertools.combinations(rows, 2):
+        if expected[a] != expected[b] and candidates(x, y) and N.alike(N.word_hashes(x), N.word_hashes(y)):
+            low, high = sorted((expected[a], expected[b]))
+            expected = {d: low if c == high else c for d, c in expected.items()}
+    got = {r["doc_id"]: r["class_id"] for r in N.classes(frame(spark, rows), block=16).collect()}
+    assert got == expected
