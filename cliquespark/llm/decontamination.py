@@ -1,15 +1,16 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Test items are indexed by word n-grams. A first pass over the corpus counts in how many
-documents each n-gram of the benchmark occurs; of every few consecutive n-grams of an item
-the rarest becomes a seed, so an unedited run of ``SEED_WORDS + SPREAD - 1`` words always
-holds one, however often the item was copied. A second pass joins passages to items by their
-seeds and scores each passage by local alignment of words, which edited and paraphrased
-copies still pass. Neither pass shuffles texts: what travels is one count per benchmark
-n-gram and the matches. The benchmark is taken in blocks of a fixed number of words, each
+"""Benchmark decontamination: word-pair seeds by the counting bound, then Smith-Waterman alignment.
+
+Test items are indexed by pairs of neighbouring words, all of them. An alignment of ``m`` words of
+an item of ``n`` with ``x`` edits scores ``2 m - x``, and its edits split the words into ``x + 1``
+runs at most, so one that reaches the part ``p`` of the best score keeps at least
+``(2 p - 1) n - 1`` pairs whole, and no insertions shift them by more than ``(2 - 2 p) n`` words.
+Passages with so many pairs so close together are scored by local alignment of words; no other
+can reach the limit. Items so short that the bound is below one pair are indexed by single words,
+of which a passage keeps the part ``p``. One pass over the corpus, which does not shuffle texts:
+what travels are the matches. The benchmark is taken in blocks of a fixed number of words, each
 sent to the executors; a larger benchmark takes more passes.
 
-Defined results: null and empty texts match nothing; items of fewer than ``SEED_WORDS`` words
+Defined results: null and empty texts match nothing; items of fewer than ``LEAST_WORDS`` words
 cannot be told from ordinary text and match nothing; a document has one row per item, the
 best-scoring passage, and repeated rows repeat it; empty tables give an empty result.
 """
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from cliquespark.llm.shared import materialize, texts
 
-SEED_WORDS = 4
-SPREAD = 3
+#: Items of fewer words match nothing.
+LEAST_WORDS = 4
 #: Words of benchmark items that are held at once; the executors get about 100 bytes for each.
 BLOCK_WORDS = 250_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -43,13 +44,15 @@ def word_list(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def grams(ids: np.ndarray, n: int = SEED_WORDS) -> np.ndarray:
-    """64-bit hashes of the n-grams of word ids."""
-    out = np.zeros(len(ids) - n + 1, np.uint64)
-    for k in range(n):
-        x = ids[k : len(ids) - n + 1 + k].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        out = (out ^ x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return out
+def pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One number for two word ids; a single word has 0 as its second."""
+    return (first << 32) | second
+
+
+def needed(words: int, least: float) -> tuple[bool, int]:
+    """Whether word pairs are enough to find an item of so many words, and how many seeds a passage keeps at least."""
+    kept = int(np.ceil((2 * least - 1) * words - 1 - 1e-9))
+    return (True, kept) if kept >= 1 else (False, max(1, int(np.ceil(least * words - 1e-9))))
 
 
 @dataclass
@@ -65,22 +68,21 @@ class Items:
         made = cls([i for i, _ in rows])
         for _, text in rows:
             made.words.append(np.array([made.vocabulary.setdefault(w, len(made.vocabulary) + 1) for w in word_list(text)], np.int64))
-        all_grams = [grams(w) for w in made.words]
-        made.known = np.unique(np.concatenate(all_grams)) if all_grams else np.zeros(0, np.uint64)
         return made
 
-    def choose(self, found_in: dict[int, int]) -> None:
-        """Seeds: the rarest n-gram of every ``SPREAD`` consecutive ones of an item."""
-        rows = []
+    def index(self, least: float) -> Items:
+        """Every seed of every item with its places, the seeds that each item needs, and how far insertions shift them."""
+        keys, rows, self.need = [np.zeros(0, np.int64)], [np.zeros((0, 2), np.int64)], np.zeros(len(self.words), np.int64)
         for k, words in enumerate(self.words):
-            keys = grams(words)
-            at = np.searchsorted(self.known, keys)
-            rare = np.array([found_in.get(int(a), 0) for a in at])
-            picked = {int(s + np.argmin(rare[s : s + SPREAD])) for s in range(max(1, len(keys) - SPREAD + 1))}
-            rows += [(keys[p], k, p) for p in picked]
-        rows.sort()
-        self.seeds = np.array([r[0] for r in rows], np.uint64)
-        self.places = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)
+            paired, self.need[k] = needed(len(words), least)
+            keys.append(pairs(words[:-1], words[1:]) if paired else pairs(words, np.zeros_like(words)))
+            rows.append(np.stack([np.full(len(keys[-1]), k), np.arange(len(keys[-1]))], axis=1))
+        self.slack = np.array([max(4, len(w) // 4, int((2 - 2 * least) * len(w) + 1e-9)) for w in self.words], np.int64)
+        seeds, places = np.concatenate(keys), np.concatenate(rows)
+        order = np.argsort(seeds, kind="stable")
+        self.seeds, self.places = seeds[order], places[order]
+        self.single = bool(len(seeds)) and bool((seeds & 0xFFFFFFFF == 0).any())
+        return self
 
 
 def encode(text: str, vocabulary: dict[str, int]) -> np.ndarray:
@@ -89,20 +91,24 @@ def encode(text: str, vocabulary: dict[str, int]) -> np.ndarray:
     return np.array([get(w, 0) for w in word_list(text)], np.int64)
 
 
-def full_grams(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the n-grams that consist of benchmark words."""
-    if len(ids) < SEED_WORDS:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    inside = np.convolve(ids > 0, np.ones(SEED_WORDS, np.int64), "valid") == SEED_WORDS
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return at, np.zeros(0, np.uint64)
-    windows = np.lib.stride_tricks.sliding_window_view(ids, SEED_WORDS)[at]
-    out = np.zeros(len(at), np.uint64)
-    for k in range(SEED_WORDS):
-        x = windows[:, k].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        out = (out ^ x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return at, out
+def seeds_in(ids: np.ndarray, single: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and numbers of the pairs, and with ``single`` the words, that consist of benchmark words."""
+    inside = ids > 0
+    at = np.flatnonzero(inside[:-1] & inside[1:])
+    keys = pairs(ids[at], ids[at + 1])
+    if single:
+        alone = np.flatnonzero(inside)
+        at, keys = np.concatenate([at, alone]), np.concatenate([keys, pairs(ids[alone], np.zeros_like(alone))])
+    return at, keys
+
+
+def dense(begins: np.ndarray, need: int, slack: int) -> np.ndarray:
+    """Of sorted numbers those that lie with ``need`` of them in a span of ``slack``."""
+    first = np.flatnonzero(begins[need - 1 :] - begins[: len(begins) - need + 1] <= slack)
+    cover = np.zeros(len(begins) + 1, np.int64)
+    np.add.at(cover, first, 1)
+    np.add.at(cover, first + need, -1)
+    return begins[np.cumsum(cover[:-1]) > 0]
 
 
 def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -135,20 +141,24 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int
 
 def matches(ids: np.ndarray, items: Items, least: float) -> list[tuple[int, float, int, int]]:
     """``(item, score, first word, word after the last)`` of the best passage per item."""
-    at, keys = full_grams(ids)
-    if not len(at) or not len(items.seeds):
+    if not len(items.seeds) or not len(ids):
         return []
+    at, keys = seeds_in(ids, items.single)
     left = np.searchsorted(items.seeds, keys, "left")
     many = np.searchsorted(items.seeds, keys, "right") - left
     if not many.any():
         return []
     rows = np.repeat(left, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     where, places = np.repeat(at, many), items.places[rows]
+    hit = places[:, 0]
+    enough = np.bincount(hit, minlength=len(items.words)) >= items.need
     found = []
-    for k in np.unique(places[:, 0]):
-        item = items.words[k]
-        slack = max(4, len(item) // 4)
-        begins = np.sort((where - places[:, 1])[places[:, 0] == k])
+    for k in np.flatnonzero(enough):
+        item, slack = items.words[k], int(items.slack[k])
+        mine = hit == k
+        begins = dense(np.sort(where[mine] - places[mine, 1]), int(items.need[k]), slack)
+        if not len(begins):
+            continue
         best = (0, 0, 0)
         # starts that lie close together are one passage
         for group in np.split(begins, np.flatnonzero(np.diff(begins) > slack) + 1):
@@ -169,7 +179,7 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -
     rows, size = [], 0
     for r in benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t")).filter("i IS NOT NULL AND t IS NOT NULL").orderBy("i", "t").toLocalIterator():
         n = len(word_list(r["t"]))
-        if n >= SEED_WORDS:
+        if n >= LEAST_WORDS:
             if size + n > block_words and rows:
                 yield rows
                 rows, size = [], 0
@@ -179,26 +189,6 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -
         yield rows
 
 
-def gram_counts(docs: DataFrame, sent) -> dict[int, int]:
-    """In how many documents each n-gram of the block occurs; at most one row per n-gram of the block comes back."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = sent.value
-        total = np.zeros(len(items.known), np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                _, keys = full_grams(encode(text.as_py() or "", items.vocabulary))
-                if len(keys):
-                    place = np.searchsorted(items.known, keys)
-                    place[place == len(items.known)] = 0
-                    total[np.unique(place[items.known[place] == keys])] += 1
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
-
-    counted = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r["gram"]: r["n"] for r in counted.collect()}
-
-
 def align(docs: DataFrame, sent, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
@@ -224,9 +214,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
     docs = texts(docs)
     spark, parts = docs.sparkSession, []
     for rows in blocks(benchmark, item_col, item_text_col, block_words):
-        items = Items.of(rows)
-        items.choose(gram_counts(docs, spark.sparkContext.broadcast(items)))
-        parts.append(align(docs, spark.sparkContext.broadcast(items), least))
+        parts.append(align(docs, spark.sparkContext.broadcast(Items.of(rows).index(least)), least))
     if not parts:
         return spark.createDataFrame([], MATCHES)
     return reduce(DataFrame.unionByName, parts)

@@ -33,6 +33,31 @@ def test_copies_and_edited_copies_are_found_and_clean_texts_are_not(spark, bench
     assert exact["score"] == 1 and text[100][exact["start"] : exact["end"]] == item(3)
 
 
+def test_every_copy_that_reaches_the_limit_is_found(spark):
+    """Evenly spaced and random edits up to the limit: replaced, removed and inserted words, long and very short items."""
+    r, items, docs, expected = random.Random(9), {}, [], set()
+    for k in range(60):
+        item = items[k] = prose(5_000 + k, r.choice((4, 5, 6, 8, 16, 40, 59)))
+        words, step, share, kind = item.split(), 4 + k % 3, r.uniform(0.1, 0.3), k % 5
+        many = int(0.75 * len(words))
+        copies = [
+            [f"x{i}" if i % step == step - 1 else w for i, w in enumerate(words)],
+            [f"x{i}" if r.random() < share else w for i, w in enumerate(words)],
+            [w for i, w in enumerate(words) if r.random() > share],
+            [x for i, w in enumerate(words) for x in ([w, f"x{i}"] if i < many else [w])],
+            [x for i, w in enumerate(words) for x in r.choice(([w], [w], [f"x{i}"], [w, f"x{i}"]))],
+        ]
+        for c in copies[kind:] + copies[:kind]:
+            docs.append((len(docs), prose(len(docs), 120) + " " + " ".join(c) + " " + prose(len(docs) + 7_000, 120)))
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    made = D.Items.of(list(items.items()))
+    for d, text in docs:
+        ids = D.encode(text, made.vocabulary)
+        expected |= {(d, k) for k, item in zip(made.ids, made.words, strict=True) if D.smith_waterman(item, ids)[0] >= 0.6 * D.MATCH * len(item)}
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(frame(spark, docs), benchmark).collect()}
+    assert got == expected and len(expected) > 150
+
+
 def test_blocks_give_the_same(spark, benchmark):
     docs = frame(spark, [(k, prose(k, 60) + " " + prose(5_000 + k % 20, 40)) for k in range(30)])
     whole, parts = D.contaminated(docs, benchmark), D.contaminated(docs, benchmark, block_words=100)
