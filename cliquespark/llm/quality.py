@@ -6,13 +6,14 @@ and 1). The references are sums over every document that passes the base rules a
 prose (few symbols, few capitals): class counts, and the most frequent short words of the
 language with a bin for all other words. Short texts diverge by chance, so each test's
 limit falls with the square root of the length, and texts below a minimum length skip it.
-A document without a language that has a reference is held against the nearest one.
+A document with no language is held against the nearest reference; where a language has too
+little text for a reference, only the base rules decide.
 
 DataFrame functions only. One pass over the texts writes narrow features; the references
 and the verdicts come from those.
 
-Defined results: a null text has no words and fails the base rules; a null, rare or unknown
-language is compared to all references; without any reference (a tiny table) only the base
+Defined results: a null text has no words and fails the base rules; a null
+language is compared to all references; a language with too few words is not compared; without any reference (a tiny table) only the base
 rules decide; rows with a null or repeated ``doc_id`` are judged like any other; other
 columns are neither read nor returned.
 """
@@ -32,9 +33,10 @@ REPEAT_PERCENT = 50
 #: Common words of a language: how many, and the longest that counts as one.
 COMMON_WORDS = 24
 COMMON_CHARS = 5
-#: A language has a reference from so many words on; the largest so many languages get one.
+#: A language has a reference from so many words on.
 REFERENCE_WORDS = 2_000
-REFERENCE_LANGUAGES = 256
+#: So many references are literals of the plan at most; more are a table that is joined by language.
+LITERAL_LANGUAGES = 256
 #: Plain prose, from which references are made: at most these shares of symbols and of capitals.
 SYMBOL_SHARE = 0.02
 CAPITAL_SHARE = 0.2
@@ -110,22 +112,19 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return found.withColumns({"n_other": F.col("n_all") - known, "base_failed": failed})
 
 
-def references(feats: DataFrame) -> list[dict]:
-    """At most ``REFERENCE_LANGUAGES`` rows: language, class shares, common words and their shares with the rest last."""
+def references(feats: DataFrame) -> DataFrame:
+    """``lang, ref`` of every language with enough words: class shares, common words and their shares with the rest last."""
     plain = feats.filter(~F.col("base_failed") & F.col("lang").isNotNull() & (F.col("n_symbols") <= SYMBOL_SHARE * F.col("n_all")) & (F.col("n_upper") <= CAPITAL_SHARE * (F.col("n_lower") + F.col("n_upper"))))
     totals = plain.groupBy("lang").agg(F.sum("n_words").alias("words"), *[F.sum(c).alias(c) for c in CLASSES]).filter(F.col("words") >= REFERENCE_WORDS)
-    totals = {r["lang"]: r for r in totals.orderBy(F.desc("words"), "lang").limit(REFERENCE_LANGUAGES).collect()}
-    counts = plain.filter(F.col("lang").isin(list(totals))).select("lang", F.explode("short").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counts = plain.select("lang", F.explode("short").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    common: dict[str, list] = {}
-    for r in counts.withColumn("nth", nth).filter(F.col("nth") <= COMMON_WORDS).orderBy("lang", "nth").collect():
-        common.setdefault(r["lang"], []).append((r["word"], r["n"]))
-    found = []
-    for lang, r in sorted(totals.items()):
-        n, words = float(sum(r[c] for c in CLASSES)), common.get(lang, [])
-        shares = [k / r["words"] for _, k in words]
-        found.append({"lang": lang, "classes": [r[c] / n for c in CLASSES], "words": [w for w, _ in words], "shares": [*shares, 1.0 - sum(shares)]})
-    return found
+    common = counts.withColumn("nth", nth).filter(F.col("nth") <= COMMON_WORDS).groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("nth", "word", "n"))).alias("common"))
+    made = totals.join(common, "lang", "left").withColumn("common", F.coalesce("common", F.expr("CAST(array() AS array<struct<nth: int, word: string, n: bigint>>)")))
+    shares = F.transform("common", lambda x: x["n"].cast("double") / F.col("words").cast("double"))
+    rest = F.lit(1.0) - F.aggregate(shares, F.lit(0.0), lambda a, x: a + x)
+    total = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0])).cast("double")
+    classes = F.array(*[F.col(c).cast("double") / total for c in CLASSES])
+    return made.select("lang", F.struct(classes.alias("classes"), F.transform("common", lambda x: x["word"]).alias("words"), F.concat(shares, F.array(rest)).alias("shares")).alias("ref"))
 
 
 def distance(counts: Column, total: Column, shares: Column) -> Column:
@@ -145,9 +144,26 @@ def literal(reference: dict) -> Column:
     return F.struct(doubles(reference["classes"]).alias("classes"), F.array(*[F.lit(w) for w in reference["words"]]).cast("array<string>").alias("words"), doubles(reference["shares"]).alias("shares"))
 
 
-def verdicts(feats: DataFrame, refs: list[dict]) -> DataFrame:
+def with_references(feats: DataFrame, refs: DataFrame, literals: int = LITERAL_LANGUAGES) -> DataFrame | None:
+    """Adds ``chosen``: the reference of a row's language or none, all of them for a row without a language. None if there are no references."""
+    refs = materialize(refs, "references")
+    some = [r.asDict(recursive=True) for r in refs.orderBy("lang").limit(literals + 1).collect()]
+    if not some:
+        return None
+    unknown = F.col("lang").isNull()
+    if len(some) <= literals:
+        every = F.array(*[literal(r["ref"]) for r in some])
+        own = F.filter(F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), literal(r["ref"]).alias("ref")) for r in some]), lambda r: r["lang"] == F.col("lang"))
+        return feats.withColumn("chosen", F.when(unknown, every).otherwise(F.transform(own, lambda r: r["ref"])))
+    known = feats.filter(~unknown).join(refs, "lang", "left").withColumn("chosen", F.when(F.col("ref").isNotNull(), F.array("ref")))
+    others = feats.filter(unknown).crossJoin(F.broadcast(refs.agg(F.collect_list("ref").alias("chosen"))))
+    return known.drop("ref").unionByName(others)
+
+
+def verdicts(feats: DataFrame, refs: DataFrame) -> DataFrame:
     """Adds ``class_distance``, ``word_distance`` and ``kept``."""
-    if not refs:
+    found = with_references(feats, refs)
+    if found is None:
         return feats.withColumns({"class_distance": F.lit(None).cast("double"), "word_distance": F.lit(None).cast("double"), "kept": ~F.col("base_failed")})
     n_all, n_words = F.col("n_all").cast("double"), F.col("n_words").cast("double")
     classes = F.array(*[F.col(c).cast("double") for c in CLASSES])
@@ -159,15 +175,12 @@ def verdicts(feats: DataFrame, refs: list[dict]) -> DataFrame:
     def distances(ref: Column) -> Column:
         return F.struct(distance(classes, n_all, ref["classes"]).alias("c"), distance(word_counts(ref), n_words, ref["shares"]).alias("w"))
 
-    every = F.array(*[literal(r) for r in refs])
-    own = F.filter(F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), literal(r).alias("ref")) for r in refs]), lambda r: r["lang"] == F.col("lang"))
-    chosen = F.when(F.size(own) > 0, F.transform(own, lambda r: r["ref"])).otherwise(every)
-    compared = feats.withColumn("d", F.when(~F.col("base_failed"), F.transform(chosen, distances)))
+    compared = found.withColumn("d", F.when(~F.col("base_failed"), F.transform("chosen", distances)))
     nearest = F.array_min(F.transform("d", lambda d: F.struct((d["c"] + d["w"]).alias("s"), d["c"].alias("c"), d["w"].alias("w"))))
     compared = compared.withColumn("d", nearest).withColumns({"class_distance": F.col("d.c"), "word_distance": F.col("d.w")})
     off_class = (F.col("n_all") >= CLASS_LEAST_CHARS) & (F.col("class_distance") > CLASS_FLOOR + CLASS_SLOPE / F.sqrt(n_all))
     off_words = (F.col("n_words") >= WORD_LEAST_WORDS) & (F.col("word_distance") > WORD_FLOOR + WORD_SLOPE / F.sqrt(n_words))
-    return compared.drop("d").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(off_class, F.lit(False)) & ~F.coalesce(off_words, F.lit(False)))
+    return compared.drop("d", "chosen").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(off_class, F.lit(False)) & ~F.coalesce(off_words, F.lit(False)))
 
 
 def judge(docs: DataFrame) -> DataFrame:

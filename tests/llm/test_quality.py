@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 from collections import Counter
@@ -68,3 +69,26 @@ def test_empty_table(empty):
 def test_no_python_in_the_plan(spark, odd):
     plan = Q.judge(odd)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def foreign(seed, n, lang):
+    """Prose whose short words are those of its language only."""
+    r = random.Random(seed)
+    return " ".join(f"{lang}{r.randint(0, 9)}" if r.random() < 0.4 else w for w in prose(seed, n).split())
+
+
+def test_every_language_has_its_own_reference(spark):
+    """More languages than the plan takes as literals; the smallest is judged like the others."""
+    names = ["".join(x) for x in itertools.product("bcdfghjklmnpqrstvw", "aeiouxyzbcdfghj")][:260]
+    rows = [(100 * k + c, foreign(100 * k + c, 300 + (k < len(names) - 1) * 40, name), name) for k, name in enumerate(names) for c in range(7)]
+    rows += [(-1, foreign(9, 300, names[-1]), None), (-2, " ".join(w + "***" for w in foreign(8, 300, "zz").split()), names[-1])]
+    got = {r["doc_id"]: r for r in Q.quality_rows(frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and len(names) == 260
+    assert all(got[r[0]]["kept"] and got[r[0]]["class_distance"] is not None for r in rows if r[0] >= 0)
+    assert got[-1]["kept"] and not got[-2]["kept"]
+
+
+def test_a_rare_language_is_not_held_against_others(spark):
+    rows = [(k, prose(k, 200), "en") for k in range(60)] + [(100, foreign(100, 1_500, "q"), "xx"), (101, "few words", "xx")]
+    got = {r["doc_id"]: r for r in Q.quality_rows(frame(spark, rows)).collect()}
+    assert got[100]["kept"] and got[100]["word_distance"] is None and not got[101]["kept"]
