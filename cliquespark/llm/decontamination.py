@@ -220,7 +220,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
     return reduce(DataFrame.unionByName, parts)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, id_col: str = "doc_id") -> DataFrame:
-    """All columns of the documents that hold no benchmark passage."""
-    found = materialize(contaminated(docs, benchmark, least).select(F.col("doc_id").alias("hit__")).distinct(), "contaminated")
-    return docs.join(found, docs[id_col].cast("long").eqNullSafe(found["hit__"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of the documents that hold no benchmark passage; rows without a ``doc_id`` are told apart by a hash of their text."""
+    mark = F.coalesce(docs[id_col].cast("long"), F.xxhash64(docs[text_col].cast("string")))
+    marked = docs.select(mark.alias("doc_id"), docs[text_col].alias("text"))
+    found = materialize(contaminated(marked, benchmark, least).select(F.col("doc_id").alias("hit__")).distinct(), "contaminated")
+    return docs.join(found, mark == found["hit__"], "left_anti")

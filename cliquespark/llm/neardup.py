@@ -327,7 +327,19 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKE
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """All columns of the documents that name their class: one of each group stays."""
+    """All columns of one row of each group: the one of the smallest ``doc_id``, rows without one last.
+
+    Rows without an id are told apart by a number of their own; rows that repeat one are one document.
+    """
+    if not docs.filter(docs[id_col].cast("long").isNull()).isEmpty():
+        rows = materialize(docs.withColumn("row__", F.monotonically_increasing_id()), "rows")
+        doc_id = rows[id_col].cast("long")
+        key = F.coalesce(doc_id, F.lit(-(1 << 63)) + rows["row__"])
+        named = classes(rows.select(key.alias("doc_id"), rows[text_col].alias("text")), similarity)
+        order = rows.select(key.alias("doc_id"), doc_id.alias("id"))
+        first = named.join(order.distinct(), "doc_id").groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")).alias("m"))
+        stay = materialize(first.select(F.col("m.doc_id").alias("kept__")).distinct(), "representatives")
+        return rows.join(stay, key == stay["kept__"], "left_semi").drop("row__")
     found = classes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), similarity)
     gone = materialize(found.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone__")).distinct(), "near-copies")
     return docs.join(gone, docs[id_col].cast("long") == gone["gone__"], "left_anti")

@@ -81,8 +81,14 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) >= 4, count).otherwise(F.lit(0)).cast("long")
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Base statistics, class counts and the short words of every whole text."""
+def marks(text: Column, lang: Column) -> list[Column]:
+    """128 bits of what a verdict depends on."""
+    text, lang = F.coalesce(text.cast("string"), F.lit("")), lang.cast("string")
+    return [F.xxhash64(F.lit(k), text, lang.isNull(), lang) for k in (1, 2)]
+
+
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", marked: bool = False) -> DataFrame:
+    """Base statistics, class counts and the short words of every whole text; with ``marked`` also its marks ``m1`` and ``m2``."""
     ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"), F.col(lang_col).cast("string").alias("lang"))
     t = F.col("t")
@@ -106,6 +112,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         count_of(t, r"[^.,;:?'\"()\-]+").alias("n_point"),
         count_of(t, r"[^!]+").alias("n_bang"),
         short.alias("short"),
+        *([m.alias(f"m{k}") for k, m in enumerate(marks(t, F.col("lang")), 1)] if marked else []),
     )
     known = F.col("n_lower") + F.col("n_upper") + F.col("n_digit") + F.col("n_space") + F.col("n_point") + F.col("n_bang") + F.col("n_symbols")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
@@ -183,9 +190,9 @@ def verdicts(feats: DataFrame, refs: DataFrame) -> DataFrame:
     return compared.drop("d", "chosen").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(off_class, F.lit(False)) & ~F.coalesce(off_words, F.lit(False)))
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, marked: bool = False) -> DataFrame:
     """Every document with its statistics, distances and verdict."""
-    feats = materialize(features(docs), "quality")
+    feats = materialize(features(docs, marked=marked), "quality")
     return verdicts(feats, references(feats))
 
 

@@ -14,9 +14,11 @@ from cliquespark.llm.shared import documents, materialize
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    rejected = materialize(quality.judge(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone__")).distinct(), "rejected")
-    return docs.join(rejected, docs["doc_id"].cast("long").eqNullSafe(rejected["gone__"]), "left_anti")
+    """Documents that the quality rules reject go, rows that repeat a ``doc_id`` as one, rows without one each by itself."""
+    rejected = materialize(quality.judge(docs, marked=True).filter(~F.col("kept")).select(F.col("doc_id").alias("gone__"), *[F.when(F.col("doc_id").isNull(), F.col(m)).alias(m) for m in ("m1", "m2")]).distinct(), "rejected")
+    doc_id = docs["doc_id"].cast("long")
+    m1, m2 = (F.when(doc_id.isNull(), m) for m in quality.marks(docs["text"], docs["lang"]))
+    return docs.join(rejected, doc_id.eqNullSafe(rejected["gone__"]) & m1.eqNullSafe(rejected["m1"]) & m2.eqNullSafe(rejected["m2"]), "left_anti")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import itertools
 import pytest
 
 from cliquespark.llm import decontamination, linededup, neardup, packing, tokens
-from tests.llm.conftest import ODD, prose
+from tests.llm.conftest import ODD, frame, prose
 from tests.llm.test_linededup import UPPER
 from tests.llm.test_pairs import brute_classes, edited
 
@@ -57,3 +57,16 @@ def test_every_stage_takes_an_empty_table(spark, folder, empty):
         assert stage(spark, empty, path).count() == 0
     assert corpus_pipeline.ORACLE_SQL is None
     assert itertools.chain and neardup.SIMILARITY == 0.8
+
+
+def test_rows_without_an_id_are_judged_on_their_own_text(spark, folder):
+    path, _ = folder
+    texts = lambda df: sorted(r["text"] or "" for r in df.collect())
+    good = [(None, prose(k, 120)) for k in range(3)]
+    clean = sorted(t for _, t in good)
+    assert texts(corpus_pipeline.quality_stage(spark, frame(spark, [*good, (None, "few words"), (None, None)]), path)) == clean
+    hit = [(None, prose(50, 60) + " " + prose(5_000, 40))]
+    assert texts(corpus_pipeline.benchmark_stage(spark, frame(spark, good + hit), path)) == clean
+    near = [(None, good[0][1] + " end"), good[0], (3, good[1][1] + " end")]
+    left = corpus_pipeline.near_stage(spark, frame(spark, good + near), path).collect()
+    assert len(left) == 3 and (3, near[2][1]) in [(r["doc_id"], r["text"]) for r in left]
