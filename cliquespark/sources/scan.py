@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import warnings
 from collections.abc import Iterable
 from pathlib import PurePosixPath
 
@@ -24,14 +26,35 @@ def compendium_paths(folder: str, names: Iterable[str]) -> list[str]:
     return [f"{folder.rstrip('/')}/{n}" for n in names]
 
 
+def qualified(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """A path as readers report it, and whether it exists."""
+    jvm = spark._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    system = found.getFileSystem(spark._jsc.hadoopConfiguration())
+    return re.sub("^([A-Za-z0-9]+):/+", r"\1:/", system.makeQualified(found).toUri().toString()), system.exists(found)
+
+
+def present(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that exist; a missing one is warned of."""
+    found = []
+    for p in paths:
+        if qualified(spark, p)[1]:
+            found.append(p)
+        else:
+            warnings.warn(f"file not found: {PurePosixPath(p).name}", stacklevel=3)
+    return found
+
+
 def is_compendium(spark: SparkSession, path: str, lines: int = SAMPLE_LINES) -> bool:
-    """Whether the first lines are cliques: a text ``type`` and a list of ``identifiers``."""
+    """Whether the first lines are cliques: a text ``type`` and a list of ``identifiers``. An empty file is an error."""
     head = [r[0] for r in spark.read.text(path).limit(lines).collect()]
+    if not head:
+        raise InvalidFile(f"{path} is empty")
     try:
         records = [json.loads(x) for x in head]
     except ValueError:
         return False
-    return bool(records) and all(isinstance(r, dict) and isinstance(r.get("type"), str) and isinstance(r.get("identifiers"), list) for r in records)
+    return all(isinstance(r, dict) and isinstance(r.get("type"), str) and isinstance(r.get("identifiers"), list) for r in records)
 
 
 def invalid_lines(scanned: DataFrame) -> DataFrame:
@@ -43,21 +66,23 @@ def invalid_lines(scanned: DataFrame) -> DataFrame:
 def scan_compendium(spark: SparkSession, paths: list[str], strict: bool = False) -> DataFrame:
     """Cliques of several files: ``file, file_idx, line_no, type, ic, identifiers``.
 
-    Files that fail the sample check are skipped (``strict``: refused). ``line_no`` orders the
-    lines of a file within this scan; it is not a count of lines.
+    Missing files are warned of and skipped, as are files that fail the sample check (``strict``: both
+    are refused); an empty file is refused. ``file_idx`` is the place in ``paths``, and ``line_no``
+    orders the lines of a file within this scan; it is not a count of lines.
     """
-    good = [p for p in paths if is_compendium(spark, p)]
+    there = present(spark, paths)
+    good = [p for p in there if is_compendium(spark, p)]
     if strict and len(good) < len(paths):
         raise InvalidFile(f"not compendia: {sorted(set(paths) - set(good))}")
     schema = f"file string, file_idx int, line_no struct<block: bigint, line: bigint>, {COMPENDIUM}"
     if not good:
         return spark.createDataFrame([], schema)
-    # the last part of a path is enough to tell the files apart unless two folders share names
-    index = F.coalesce(*[F.when(F.col("file").endswith("/" + PurePosixPath(p).name) if "/" in p else F.col("file").endswith(p), F.lit(k)) for k, p in enumerate(good)])
+    places = [x for p in good for x in (F.lit(qualified(spark, p)[0]), F.lit(paths.index(p)))]
+    name = F.regexp_replace("file", "^([A-Za-z0-9]+):/+", "$1:/")
     lines = spark.read.text(good).select(
         F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("line_no"), F.from_json("value", COMPENDIUM).alias("r")
     )
-    return lines.select("file", index.cast("int").alias("file_idx"), "line_no", "r.*")
+    return lines.select("file", F.create_map(*places)[name].cast("int").alias("file_idx"), "line_no", "r.*")
 
 
 def scan_conflation(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -74,10 +99,14 @@ def keyed_conflation(lists: DataFrame) -> DataFrame:
     return exploded.groupBy("name", "member").agg(F.max_by("members", "at").alias("members"))
 
 
-def scan_normalized(spark: SparkSession, path: str) -> DataFrame:
-    """A document ``{curie: node}`` as rows ``entity_id, id, equivalent_identifiers, type, information_content``."""
-    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", f"map<string, {NODE}>").alias("m"))
-    return whole.select(F.explode("m").alias("entity_id", "node")).select("entity_id", "node.*")
+def scan_normalized(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """A document ``{curie: node}`` as rows ``entity_id, id, equivalent_identifiers, type, information_content``.
+
+    A document is one value and so one task; ``lines`` reads files with such an object on each line,
+    which are split like any others. Identifiers without a node have null parts.
+    """
+    found = spark.read.text(path, wholetext=not lines).select(F.from_json("value", f"map<string, {NODE}>").alias("m"))
+    return found.select(F.explode("m").alias("entity_id", "node")).select("entity_id", "node.*")
 
 
 def scan_curies(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -87,29 +116,42 @@ def scan_curies(spark: SparkSession, path: str, limit: int | None = None) -> Dat
     return rows.select(F.trim("input_curie").alias("curie")).filter("curie <> ''")
 
 
-def _positional(spark: SparkSession, path: str, columns: int) -> DataFrame:
-    return spark.read.csv(path, schema=", ".join(f"c{k} string" for k in range(columns)))
+def _positional(spark: SparkSession, path: str, least: int, columns: int) -> DataFrame:
+    """Columns ``c0``, ``c1`` and so on of headerless CSV lines with at least so many fields; empty fields are empty texts, absent ones null."""
+    lines = spark.read.text(path)
+    bare = F.regexp_replace("value", r'(^|,)"(?:[^"]|"")*"', "$1")
+    lines = lines.select("value", (F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1).alias("n")).filter((F.col("n") >= least) & (F.col("value") != ""))
+    row = F.from_csv("value", F.lit(", ".join(f"c{k} string" for k in range(columns))), {"escape": '"', "maxCharsPerColumn": "-1"})
+    fields = lines.select("n", row.alias("r"))
+    return fields.select(*[F.when(F.col("n") > k, F.coalesce(F.col("r")[f"c{k}"], F.lit(""))).alias(f"c{k}") for k in range(columns)])
+
+
+def _named(spark: SparkSession, path: str, source: str | None, node_id: str, node_type: str, node_name: str) -> DataFrame:
+    """Columns of CSV files with a header; empty fields are empty texts."""
+    rows = spark.read.csv(path, header=True, escape='"')
+    value = lambda c: F.coalesce(F.col(c), F.lit(""))
+    return rows.select(value(node_id).alias("node_id"), value(node_type).alias("node_type"), value(node_name).alias("node_name"), (F.lit(source) if source else value("node_source")).alias("node_source"))
 
 
 def scan_biokde(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless; rows of fewer than eight columns are skipped; a ninth names the source."""
-    rows = _positional(spark, path, 9).filter("c7 IS NOT NULL")
+    """Headerless; rows of fewer than eight fields are skipped, empty ones count; a ninth names the source."""
+    rows = _positional(spark, path, 8, 9)
     return rows.select(F.col("c0").alias("node_id"), F.col("c1").alias("node_type"), F.col("c5").alias("node_name"), F.coalesce("c8", F.lit("BioKDE")).alias("node_source"))
 
 
 def scan_ikraph(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True).select(F.col("external_id").alias("node_id"), F.col("type").alias("node_type"), F.col("official_name").alias("node_name"), F.lit("iKraph").alias("node_source"))
+    return _named(spark, path, "iKGraph", "external_id", "type", "official_name")
 
 
 def scan_primekg(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True).select("node_id", "node_type", "node_name", F.lit("PrimeKG").alias("node_source"))
+    return _named(spark, path, "PrimeKG", "node_id", "node_type", "node_name")
 
 
 def scan_primekg_sources(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True).select("node_id", "node_type", "node_name", "node_source")
+    return _named(spark, path, None, "node_id", "node_type", "node_name")
 
 
 def scan_semmeddb(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless; rows of fewer than thirteen columns are skipped."""
-    rows = _positional(spark, path, 13).filter("c12 IS NOT NULL")
-    return rows.select(F.col("c3").alias("node_id"), F.col("c5").alias("node_type"), F.col("c4").alias("node_name"), F.lit("SemMedDB").alias("node_source"))
+    """Headerless; rows of fewer than thirteen fields are skipped, empty ones count; the thirteenth is the source."""
+    rows = _positional(spark, path, 13, 13)
+    return rows.select(F.col("c3").alias("node_id"), F.col("c5").alias("node_type"), F.col("c4").alias("node_name"), F.col("c12").alias("node_source"))

@@ -74,3 +74,19 @@ def normalized_json_rows(nodes: DataFrame) -> DataFrame:
     """``curie`` and ``node``, the answer's JSON or null where the identifier is unknown."""
     node = F.struct(F.struct(F.col("identifier"), F.col("label"), F.col("description")).alias("id"), "equivalent_identifiers", F.col("types").alias("type"), "information_content")
     return nodes.select("curie", F.when(F.col("identifier").isNotNull(), F.to_json(node)).alias("node"))
+
+
+def normalized_json_lines(nodes: DataFrame) -> DataFrame:
+    """``value``: a line ``{curie: node}`` per answer, null for unknown identifiers; ``scan_normalized(lines=True)`` reads it."""
+    rows = normalized_json_rows(nodes)
+    return rows.select(F.concat(F.lit("{"), F.to_json(F.array("curie")).substr(F.lit(2), F.length(F.to_json(F.array("curie"))) - 2), F.lit(": "), F.coalesce("node", F.lit("null")), F.lit("}")).alias("value"))
+
+
+def write_normalized_json(nodes: DataFrame, path: str) -> None:
+    normalized_json_lines(nodes).write.mode("overwrite").text(path)
+
+
+def write_report(report: dict[str, DataFrame], folder: str) -> None:
+    """Each part of a report as JSON lines in a folder of its name."""
+    for name, df in report.items():
+        write_json(df, f"{folder}/{name}")

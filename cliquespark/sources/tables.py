@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables that each application has written; frames that read them stay usable until :func:`release`.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the session names none (a local test session) a temporary folder is set once.
+    Where a local session names none, as in tests, a temporary folder is set once and removed at the end.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="cliquespark-")
         spark.conf.set("spark.checkpoint.dir", found)
+        atexit.register(shutil.rmtree, found.removeprefix("file://"), True)
     return found.rstrip("/")
 
 
@@ -32,5 +42,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     keeps an expensive plan from running twice.
     """
     path = shared_path(df.sparkSession, label)
+    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this session wrote, once no frame that reads them is needed; how many there were."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
