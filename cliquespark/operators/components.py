@@ -15,13 +15,13 @@ def _oriented(pairs: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node to the node's smallest."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return _oriented(both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link each smaller neighbour of a node, and the node, to the smallest."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = materialize(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _oriented(moved.unionByName(least.select("a", F.col("m").alias("b"))))
 
@@ -33,9 +33,10 @@ def _mark(edges: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """``a, b``: each node of a link other than the smallest of its component, with that smallest.
 
-    Every step is a minimum per node, which combines before the shuffle, and an equi-join, which
-    can be split where one node has most of the links. Steps are cut by tables in the shared
-    folder; the number of rounds grows with the logarithm of the size.
+    Every step is a minimum per node, which combines before the shuffle, and an equi-join. The minima
+    are written first, so that both sides of the join are read from tables and adaptive execution
+    can split it where one node has most of the links. The number of rounds grows with the
+    logarithm of the size.
     """
     edges = materialize(_oriented(links), "links")
     mark = _mark(edges)
