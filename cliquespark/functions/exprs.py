@@ -153,4 +153,11 @@ def type_priority(types, ranks: dict[str, int] | None = None) -> Column:
 
 
 def canonical_json(value) -> Column:
-    return F.to_json(text(value))
+    """JSON text in one spelling: keys in order, no blanks, plain numbers. Text that is no JSON, or repeats a key, stays as it is."""
+    return F.coalesce(F.to_json(F.try_parse_json(text(value))), text(value))
+
+
+def canonical_map(value: Column) -> Column:
+    """A map of JSON texts with its keys in order and every value in one spelling."""
+    entries = F.transform(F.map_entries(value), lambda e: F.struct(e["key"].alias("key"), canonical_json(e["value"]).alias("value")))
+    return F.map_from_entries(F.array_sort(entries))

@@ -18,11 +18,15 @@ def kgx_nodes(cliques: DataFrame, type_ancestors: DataFrame) -> DataFrame:
 
 
 def kgx_edges(cliques: DataFrame) -> DataFrame:
-    """A ``same_as`` edge per pair inside a clique, in order of position; pairs are made inside the row, not by a join."""
-    ids = F.transform("identifiers", lambda x: x["i"])
-    pairs = F.flatten(F.transform(ids, lambda a, k: F.transform(F.slice(ids, k + 2, F.size(ids)), lambda b: F.struct(a.alias("subject"), b.alias("object")))))
-    found = cliques.filter(F.size("identifiers") > 1).select("file", F.explode(pairs).alias("p"))
-    return found.select(edge_md5(F.col("p.subject"), F.col("p.object"), F.col("file")).alias("id"), "p.subject", F.lit("biolink:same_as").alias("predicate"), "p.object")
+    """A ``same_as`` edge per pair inside a clique, in order of position.
+
+    No join: first the members are exploded and then what follows each of them, so that not even a
+    large clique's pairs are ever in one row.
+    """
+    ids = cliques.filter(F.size("identifiers") > 1).select("file", F.transform("identifiers", lambda x: x["i"]).alias("ids"))
+    firsts = ids.select("file", "ids", F.posexplode("ids").alias("k", "subject")).filter("k + 1 < size(ids)")
+    found = firsts.select("file", "subject", F.explode(F.slice("ids", F.col("k") + 2, F.size("ids"))).alias("object"))
+    return found.select(edge_md5("subject", "object", "file").alias("id"), "subject", F.lit("biolink:same_as").alias("predicate"), "object")
 
 
 def export_kgx(cliques: DataFrame, type_ancestors: DataFrame, folder: str) -> None:

@@ -64,12 +64,12 @@ def map_by_source(node_id="node_id", node_source="node_source") -> Column:
     return F.when(known, F.upper(i)).otherwise(F.concat(looked_up(SOURCE_PREFIXES, source), F.lit(":"), i))
 
 
-def csv_record(rows: DataFrame, curie: Column) -> DataFrame:
-    """Compendium records of a source list: ``type, identifiers, source``; unmapped rows have none."""
+def csv_record(rows: DataFrame, curie: Column, dataset: str) -> DataFrame:
+    """Compendium records of a source list: ``type, identifiers, source``, the name of the dataset whatever the rows say; unmapped rows have none."""
     label = F.when(F.coalesce(F.col("node_name"), F.lit("")) != "", F.col("node_name")).otherwise(F.col("curie"))
     kind = F.when(F.coalesce(F.col("node_type"), F.lit("")) != "", F.concat(F.lit("biolink:"), "node_type")).otherwise(F.lit(NAMED_THING))
     return rows.withColumn("curie", curie).filter("curie IS NOT NULL").select(
-        kind.alias("type"), F.array(F.struct(F.col("curie").alias("i"), label.alias("l"))).alias("identifiers"), F.upper("node_source").alias("source")
+        kind.alias("type"), F.array(F.struct(F.col("curie").alias("i"), label.alias("l"))).alias("identifiers"), F.lit(dataset.upper()).alias("source")
     )
 
 
@@ -104,3 +104,14 @@ def unmapped_examples(rows: DataFrame, limit: int = 5, position: str = "pos") ->
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     example = F.concat(blank("node_id"), F.lit(" ("), blank("node_name"), F.lit(") [source: "), blank("node_source"), F.lit("]"))
     return mapped_rows(rows).filter("curie IS NULL").withColumn("nth", nth).filter(F.col("nth") <= limit).select("node_type", "nth", example.alias("example"))
+
+
+def mapping_totals(rows: DataFrame) -> DataFrame:
+    """``n_seen, n_mapped, percent`` of all rows."""
+    seen, found = F.count("*"), F.count("curie")
+    return mapped_rows(rows).agg(seen.alias("n_seen"), found.alias("n_mapped"), F.when(seen > 0, 100.0 * found / seen).otherwise(F.lit(0.0)).alias("percent"))
+
+
+def mapping_report(rows: DataFrame) -> dict[str, DataFrame]:
+    """Totals, counts by type and unmapped examples; ``sinks.write_report`` writes them."""
+    return {"totals": mapping_totals(rows), "types": mapping_counts(rows), "unmapped": unmapped_examples(rows)}

@@ -13,6 +13,8 @@ from cliquespark.operators.graph import ATTRIBUTES
 from cliquespark.operators.index import build_index
 from cliquespark.plans.schema import Config, Index
 from cliquespark.sources.scan import keyed_conflation
+from cliquespark.sources.sinks import read_index, write_index
+from cliquespark.sources.tables import shared_path
 
 #: The derived model's own conflations; no boosted prefixes.
 CONFIG = Config(boost_prefixes={}, conflations=("A", "B"), named_thing="cat:NamedThing", entity="cat:Entity")
@@ -27,8 +29,9 @@ def curie(prefix: str, key) -> F.Column:
     return F.concat(F.lit(f"{prefix}:"), (F.col(key) if isinstance(key, str) else key).cast("string"))
 
 
-def identifier(i, label=None) -> F.Column:
-    return F.struct(i.alias("i"), (label if label is not None else F.lit(None)).cast("string").alias("l"), F.lit(None).cast("array<string>").alias("d"))
+def identifier(i, label=None, description=None) -> F.Column:
+    described = F.lit(None) if description is None else F.array(description)
+    return F.struct(i.alias("i"), (label if label is not None else F.lit(None)).cast("string").alias("l"), described.cast("array<string>").alias("d"))
 
 
 def compendium(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def compendium(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
     suppliers = supplier.select(
         F.lit("supplier").alias("file"), F.lit(1).alias("file_idx"), s.alias("line_no"), F.lit("cat:Supplier").alias("type"), F.lit(None).cast("string").alias("ic"),
-        F.array(identifier(curie("SUPP", s), F.col("s_name")), identifier(curie("VEND", s))).alias("identifiers"),
+        F.array(identifier(curie("SUPP", s), F.col("s_name")), identifier(curie("VEND", s), description=F.concat(F.lit("vendor "), s.cast("string")))).alias("identifiers"),
     )
     c = F.col("c_custkey")
     two = F.array(identifier(curie("CUST", c), F.col("c_name")), identifier(curie("ACCT", c), F.col("c_mktsegment")))
@@ -68,10 +71,23 @@ def conflation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_conflation(a.unionByName(b))
 
 
-def index(spark: SparkSession, sf_dir: str) -> Index:
+def built_index(spark: SparkSession, sf_dir: str) -> Index:
     return build_index(compendium(spark, sf_dir), conflation(spark, sf_dir), type_ancestors(spark, sf_dir))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def index(spark: SparkSession, sf_dir: str) -> Index:
+    """The index as a service has it: written once by the session, read by every lookup."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        folder = shared_path(spark, "index")
+        write_index(built_index(spark, sf_dir), folder)
+        _STORED[key] = folder
+    return read_index(spark, _STORED[key])
+
+
 def all_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every identifier of the compendia in lower case, and a hundred unknown ones."""
     known = compendium(spark, sf_dir).select(F.explode("identifiers").alias("x")).select(F.lower("x.i").alias("curie"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,6 +148,30 @@ for _name, _names in (("normalize_conflate_a", ["A"]), ("normalize_conflate_b",
     register(_name, conflated_sql(", ".join(f"'{n}'" for n in _names)))(conflated(_names))
 
 
+@register(
+    "normalize_descriptions",
+    f"WITH {BASE}, de AS (SELECT canonical_id, CASE WHEN file = 'supplier' AND pos = 1 THEN 'vendor ' || line_no END AS d FROM ids), one AS (SELECT canonical_id, min(d) AS description, count(d) AS n_described FROM de GROUP BY 1) "
+    "SELECT f.curie, one.description, coalesce(one.n_described, 0) AS n_described FROM found f LEFT JOIN one ON one.canonical_id = f.canonical_id",
+)
+def normalize_descriptions(spark, d):
+    nodes = asked(spark, d, descriptions=True)
+    described = F.size(F.filter(F.coalesce("equivalent_identifiers", F.array()), lambda x: x["description"].isNotNull()))
+    return nodes.select("curie", "description", described.cast("long").alias("n_described"))
+
+
+@register(
+    "normalize_fallback_types",
+    f"WITH {BASE} SELECT f.curie, CASE c.type WHEN 'cat:Customer' THEN c.type WHEN 'cat:Supplier' THEN 'cat:NamedThing' ELSE t.types END AS types FROM found f LEFT JOIN clique c ON c.canonical_id = f.canonical_id LEFT JOIN types t ON t.type = c.type",
+)
+def normalize_fallback_types(spark, d):
+    """Types without ancestors, cliques without a type, and the general type that is left out."""
+    index = catalog.index(spark, d)
+    known = index.type_ancestors.filter("type <> 'cat:Customer'").withColumn("ancestors", F.concat("ancestors", F.array(F.lit("cat:Entity"))))
+    untyped = index.cliques.withColumn("type", F.when(F.col("type") != "cat:Supplier", F.col("type")))
+    nodes = normalize.normalize(catalog.all_identifiers(spark, d), replace(index, type_ancestors=known, cliques=untyped), conflations=[], config=catalog.CONFIG)
+    return nodes.select("curie", joined("types").alias("types"))
+
+
 @register("normalize_hit_rate", f"WITH {BASE} SELECT count(canonical_id) AS n_found, count(*) AS n_total, count(canonical_id) / count(*) AS rate FROM found")
 def normalize_hit_rate(spark, d):
     return normalize.hit_rate(asked(spark, d))
@@ -163,7 +189,7 @@ def normalized_csv(spark, d):
 # ---- index and statistics --------------------------------------------------------------------------------------
 @register("index_last_write_wins", f"WITH {BASE} SELECT curie_key, canonical_id FROM curie_map")
 def index_last_write_wins(spark, d):
-    return catalog.index(spark, d).curie_map
+    return catalog.built_index(spark, d).curie_map
 
 
 COUNTS = f"WITH {BASE}, pc AS (SELECT i.file, a.a AS semantic_type, split_part(i.i, ':', 1) AS prefix, count(*) AS cnt FROM ids i JOIN anc a ON a.type = i.type GROUP BY ALL) "
@@ -171,7 +197,7 @@ COUNTS = f"WITH {BASE}, pc AS (SELECT i.file, a.a AS semantic_type, split_part(i
 
 @register("prefix_counts_per_file", COUNTS + "SELECT * FROM pc")
 def prefix_counts_per_file(spark, d):
-    return catalog.index(spark, d).prefix_counts
+    return catalog.built_index(spark, d).prefix_counts
 
 
 @register("prefix_counts_merged", COUNTS + "SELECT semantic_type, prefix, CAST(sum(cnt) AS BIGINT) AS cnt FROM pc GROUP BY ALL")
@@ -240,6 +266,10 @@ kept AS (SELECT msg_id, subject, predicate, object, status, min(edge_id) AS kept
 """
 
 
+def kgraph(spark: SparkSession, sf_dir: str, *parts: str) -> dict[str, DataFrame]:
+    return graph.normalize_kgraph(catalog.nodes(spark, sf_dir), catalog.edges(spark, sf_dir), catalog.index(spark, sf_dir), catalog.CONFIG, parts)
+
+
 @register(
     "kg_nodes",
     GRAPH + ", lead AS (SELECT msg_id, primary_id, min(node_id) AS node_id, arg_min(canonical_id, node_id) AS canonical_id, count(*) AS n FROM mapped GROUP BY ALL) "
@@ -248,20 +278,43 @@ kept AS (SELECT msg_id, subject, predicate, object, status, min(edge_id) AS kept
     "LEFT JOIN types_of o ON o.canonical_id = e.canonical_id LEFT JOIN labels_of l ON l.canonical_id = e.canonical_id LEFT JOIN clique own ON own.canonical_id = e.node_id",
 )
 def kg_nodes(spark, d):
-    nodes = graph.normalize_kgraph(catalog.nodes(spark, d), catalog.edges(spark, d), catalog.index(spark, d), catalog.CONFIG)["nodes"]
+    nodes = kgraph(spark, d, "nodes")["nodes"]
     merged = F.exists(F.map_keys(F.get("attributes", F.lit(0))), lambda k: k.endswith(".1"))
     return nodes.select("msg_id", "node_id", "name", joined("categories").alias("categories"), F.size("attributes").cast("long").alias("n_attributes"), merged.alias("merged"))
 
 
 @register("kg_edges_dedup", GRAPH + "SELECT msg_id, kept_id AS edge_id, subject, predicate, object FROM kept")
 def kg_edges_dedup(spark, d):
-    edges = graph.normalize_kgraph(catalog.nodes(spark, d), catalog.edges(spark, d), catalog.index(spark, d), catalog.CONFIG)["edges"]
+    edges = kgraph(spark, d, "edges")["edges"]
     return edges.select("msg_id", "edge_id", "subject", "predicate", "object")
 
 
 @register("edge_id_map", GRAPH + "SELECT r.msg_id, r.edge_id, k.kept_id FROM rewritten r JOIN kept k ON r.msg_id = k.msg_id AND r.subject = k.subject AND r.predicate = k.predicate AND r.object = k.object AND r.status = k.status")
 def edge_id_map(spark, d):
-    return graph.normalize_kgraph(catalog.nodes(spark, d), catalog.edges(spark, d), catalog.index(spark, d), catalog.CONFIG)["edge_id_map"]
+    return kgraph(spark, d, "edge_id_map")["edge_id_map"]
+
+
+@register(
+    "kg_node_notes",
+    GRAPH + "SELECT msg_id, primary_id AS node_id, CASE WHEN n > 1 THEN 'value.' || nth ELSE 'value' END AS key, '\"' || node_id || '\"' AS value FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY msg_id, primary_id ORDER BY node_id) AS nth, count(*) OVER (PARTITION BY msg_id, primary_id) AS n FROM mapped)",
+)
+def kg_node_notes(spark, d):
+    """The numbered keys under which merged nodes keep their own attributes."""
+    entries = kgraph(spark, d, "nodes")["nodes"].select("msg_id", "node_id", F.explode("attributes").alias("m")).select("msg_id", "node_id", F.explode("m").alias("key", "value"))
+    return entries.filter(F.col("key").startswith("value") & ~F.col("key").startswith("value_") & F.col("value").startswith('"'))
+
+
+@register("kg_edge_signatures", GRAPH + "SELECT msg_id, kept_id AS edge_id FROM kept")
+def kg_edge_signatures(spark, d):
+    """Values that are objects: of two spellings of one value the first edge stays."""
+    edges = catalog.edges(spark, d)
+    even = F.pmod(F.xxhash64("edge_id"), F.lit(2)) == 0
+    status = F.get("attributes", F.lit(0))["value"]
+    value = F.when(even, F.concat(F.lit('{"b": [1, 2.0], "a": '), status, F.lit("}"))).otherwise(F.concat(F.lit('{"a":'), status, F.lit(',"b":[1,2]}')))
+    odd = F.when(even, F.map_from_arrays(F.array(F.lit("value"), F.lit("attribute_type_id")), F.array(value, F.lit('"status"')))).otherwise(F.map_from_arrays(F.array(F.lit("attribute_type_id"), F.lit("value")), F.array(F.lit('"status"'), value)))
+    parts = graph.normalize_kgraph(catalog.nodes(spark, d), edges.withColumn("attributes", F.array(odd)), catalog.index(spark, d), catalog.CONFIG, ("edges",))
+    return parts["edges"].select("msg_id", "edge_id")
 
 
 @register(
@@ -272,11 +325,28 @@ def qgraph_ids(spark, d):
     return graph.normalize_qgraph(catalog.query_nodes(spark, d), catalog.index(spark, d), catalog.CONFIG).select("msg_id", "code", joined("ids").alias("ids"))
 
 
-@register("results_dedup")
+BOUND = (
+    GRAPH + ", bound AS (SELECT e.msg_id, CAST(split_part(e.edge_id, '-', 1) AS BIGINT) AS result_pos, x.code, m.primary_id AS id, min(e.edge_id) AS first_at FROM edge e, LATERAL (VALUES ('s', e.subject), ('o', e.object)) x(code, id) JOIN mapped m ON m.msg_id = e.msg_id AND m.node_id = x.id GROUP BY ALL), "
+    "ebound AS (SELECT r.msg_id, CAST(split_part(r.edge_id, '-', 1) AS BIGINT) AS result_pos, k.kept_id AS id, min(r.edge_id) AS first_at FROM rewritten r JOIN kept k ON r.msg_id = k.msg_id AND r.subject = k.subject AND r.predicate = k.predicate AND r.object = k.object AND r.status = k.status GROUP BY ALL) "
+)
+
+
+@register(
+    "results_dedup",
+    BOUND + ", n AS (SELECT msg_id, result_pos, string_agg(id, '|' ORDER BY code, first_at) AS nodes FROM bound GROUP BY ALL), e AS (SELECT msg_id, result_pos, string_agg(id, '|' ORDER BY first_at) AS edges FROM ebound GROUP BY ALL) "
+    "SELECT msg_id, min(result_pos) AS result_pos, nodes, edges FROM n JOIN e USING (msg_id, result_pos) GROUP BY msg_id, nodes, edges",
+)
 def results_dedup(spark, d):
     node, edge = catalog.bindings(spark, d)
     message = graph.Message(kg_nodes=catalog.nodes(spark, d), kg_edges=catalog.edges(spark, d), node_bindings=node, edge_bindings=edge)
-    return graph.normalize_message(message, catalog.index(spark, d), catalog.CONFIG)["results"]
+    results = graph.normalize_message(message, catalog.index(spark, d), catalog.CONFIG)["results"]
+    found = lambda pattern: joined(F.regexp_extract_all("result", F.lit(pattern), F.lit(0)))
+    return results.select("msg_id", "result_pos", found("[A-Z]+:[0-9]+").alias("nodes"), found("[0-9]+-[0-9]+-[0-9]+-[0-9]+-[A-Z]-[A-Z]").alias("edges"))
+
+
+@register("result_edge_bindings", BOUND + "SELECT msg_id, result_pos, id FROM ebound")
+def result_edge_bindings(spark, d):
+    return graph.remap_edge_bindings(catalog.bindings(spark, d)[1], kgraph(spark, d, "edge_id_map")["edge_id_map"]).select("msg_id", "result_pos", "id")
 
 
 @register(
@@ -284,8 +354,7 @@ def results_dedup(spark, d):
     GRAPH + "SELECT DISTINCT e.msg_id, CAST(split_part(e.edge_id, '-', 1) AS BIGINT) AS result_pos, x.code, m.primary_id AS id FROM edge e, LATERAL (VALUES ('s', e.subject), ('o', e.object)) x(code, id) JOIN mapped m ON m.msg_id = e.msg_id AND m.node_id = x.id",
 )
 def result_bindings(spark, d):
-    maps = graph.normalize_kgraph(catalog.nodes(spark, d), catalog.edges(spark, d), catalog.index(spark, d), catalog.CONFIG)
-    return graph.remap_node_bindings(catalog.bindings(spark, d)[0], maps["node_id_map"], catalog.index(spark, d)).select("msg_id", "result_pos", "code", "id")
+    return graph.remap_node_bindings(catalog.bindings(spark, d)[0], kgraph(spark, d, "node_id_map")["node_id_map"], catalog.index(spark, d)).select("msg_id", "result_pos", "code", "id")
 
 
 @register(
@@ -338,6 +407,11 @@ def sample_per_type(spark, d):
     return mappers.sample_per_type(catalog.source_rows(spark, d), 20).select("pos", "node_type", "curie", "class")
 
 
+@register("mapping_totals", ROWS + "SELECT count(*) AS n_seen, count(curie) AS n_mapped, round(100.0 * count(curie) / count(*), 6) AS percent FROM curies")
+def mapping_totals(spark, d):
+    return mappers.mapping_totals(catalog.source_rows(spark, d)).withColumn("percent", F.round("percent", 6))
+
+
 @register("mapping_counts", ROWS + "SELECT node_type, count(*) AS n_seen, count(curie) AS n_mapped, round(100.0 * count(curie) / count(*), 6) AS percent FROM curies GROUP BY 1")
 def mapping_counts(spark, d):
     return mappers.mapping_counts(catalog.source_rows(spark, d)).withColumn("percent", F.round("percent", 6))
@@ -351,9 +425,9 @@ def unmapped_examples(spark, d):
     return mappers.unmapped_examples(catalog.source_rows(spark, d))
 
 
-@register("compendium_records", ROWS + "SELECT 'biolink:' || node_type AS type, curie AS i, coalesce(node_name, curie) AS l, upper(node_source) AS source FROM (SELECT *, CASE node_type WHEN 'gene/protein' THEN 'NCBIGene:' || trim(node_id) WHEN 'disease' THEN 'MONDO:' || trim(node_id) WHEN 'drug' THEN 'CHEBI:' || trim(node_id) END AS curie FROM rows_) WHERE curie IS NOT NULL")
+@register("compendium_records", ROWS + "SELECT 'biolink:' || node_type AS type, curie AS i, coalesce(node_name, curie) AS l, 'PRIMEKG' AS source FROM (SELECT *, CASE node_type WHEN 'gene/protein' THEN 'NCBIGene:' || trim(node_id) WHEN 'disease' THEN 'MONDO:' || trim(node_id) WHEN 'drug' THEN 'CHEBI:' || trim(node_id) END AS curie FROM rows_) WHERE curie IS NOT NULL")
 def compendium_records(spark, d):
-    records = mappers.csv_record(catalog.source_rows(spark, d), mappers.map_primekg())
+    records = mappers.csv_record(catalog.source_rows(spark, d), mappers.map_primekg(), "primekg")
     return records.select("type", F.col("identifiers")[0]["i"].alias("i"), F.col("identifiers")[0]["l"].alias("l"), "source")
 
 
@@ -467,6 +541,19 @@ def integrity_issues(spark, d):
     return quality.integrity_issues(catalog.flawed_entities(spark, d))
 
 
+@register(
+    "quality_report",
+    FLAWED + "SELECT 'integrity' AS part, count(*) AS n FROM (SELECT 1 FROM f WHERE label IS NULL UNION ALL SELECT 1 FROM f WHERE list_contains(types, 'thing')) UNION ALL SELECT 'consistency', count(*) FROM (SELECT 1 FROM f WHERE identifier <> entity_id UNION ALL SELECT 1 FROM f WHERE NOT list_contains(eq, entity_id)) "
+    "UNION ALL SELECT 'source_types', count(*) FROM (SELECT DISTINCT s, t FROM (SELECT s, unnest(types) AS t FROM (SELECT types, unnest(sources) AS s FROM f))) UNION ALL SELECT 'overlap', count(DISTINCT sources) FROM f "
+    "UNION ALL SELECT 'duplicates', count(*) FROM (SELECT 1 FROM (SELECT identifier AS i FROM f UNION ALL SELECT unnest(eq) FROM f) GROUP BY i HAVING count(*) > 1) UNION ALL SELECT 'metrics', 6",
+)
+def quality_report(spark, d):
+    """Every part of the report with its number of rows."""
+    parts = quality.quality_report(catalog.flawed_entities(spark, d))
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n") for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @register("consistency_issues", FLAWED + "SELECT entity_id, 'key_mismatch' AS rule FROM f WHERE identifier <> entity_id UNION ALL SELECT entity_id, 'not_in_equivalents' FROM f WHERE NOT list_contains(eq, entity_id)")
 def consistency_issues(spark, d):
     return quality.consistency_issues(catalog.flawed_entities(spark, d))
@@ -489,9 +576,26 @@ def eq_graph_components(spark, d):
     return eqgraph.component_sizes(catalog.merged_entities(spark, d))
 
 
-@register("eq_graph_summary")
+@register(
+    "eq_graph_vertices_edges",
+    EDGES + "SELECT entity_id, label, (SELECT count(*) FROM e WHERE e.a = m.entity_id OR e.b = m.entity_id) AS degree FROM m",
+)
+def eq_graph_vertices_edges(spark, d):
+    vertices, edges = eqgraph.graph_tables(catalog.merged_entities(spark, d))
+    degree = edges.select(F.explode(F.array("source", "target")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
+    return vertices.join(degree, "id", "left").select("entity_id", "label", F.coalesce("degree", F.lit(0)).cast("long").alias("degree"))
+
+
+@register(
+    "eq_graph_summary",
+    EDGES.replace("WITH a AS", "WITH RECURSIVE a AS", 1)
+    + ", both_ AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT entity_id AS v, entity_id AS w FROM m UNION SELECT r.v, t.b FROM r JOIN both_ t ON t.a = r.w), c AS (SELECT v, min(w) AS component FROM r GROUP BY v), "
+    "deg AS (SELECT a AS v, count(*) AS d FROM both_ GROUP BY a), closed AS (SELECT x.a AS v, count(*) AS n FROM both_ x JOIN both_ y ON x.a = y.a AND x.b < y.b JOIN e ON e.a = x.b AND e.b = y.b GROUP BY x.a), "
+    "local_ AS (SELECT m.entity_id, CASE WHEN d >= 2 THEN 2.0::DOUBLE * coalesce(n, 0) / (d * (d - 1)) ELSE 0 END AS c FROM m LEFT JOIN deg ON deg.v = m.entity_id LEFT JOIN closed ON closed.v = m.entity_id) "
+    "SELECT 'nodes' AS metric, count(*)::DOUBLE AS value FROM m UNION ALL SELECT 'edges', count(*)::DOUBLE FROM e UNION ALL SELECT 'components', count(DISTINCT component)::DOUBLE FROM c UNION ALL SELECT 'average_clustering', round(avg(c), 6) FROM local_",
+)
 def eq_graph_summary(spark, d):
-    return eqgraph.graph_summary(catalog.merged_entities(spark, d))
+    return eqgraph.graph_summary(catalog.merged_entities(spark, d)).withColumn("value", F.round("value", 6))
 
 
 @register("doc_cliques", "SELECT min(doc_id) AS canonical_id, count(*) AS n_members FROM documents GROUP BY text")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cliquespark.functions import exprs
 from cliquespark.operators import eqgraph, graph, kgx, mappers, merge, quality
+from cliquespark.operators.normalize import normalize
 from cliquespark.sources import scan, sinks
 from cliquespark.streaming.lookups import normalize_stream
 from tests.fixtures import CLIQUE, CLIQUES, small_index
@@ -64,6 +65,21 @@ def test_attribute_signatures(spark):
     assert got[0] == got[4] == got[5] == got[6] and len({got[0], got[1], got[2], got[3]}) == 4
 
 
+def test_objects_in_values_compare_by_content(spark, index):
+    a = [{"attribute_type_id": '"x"', "value": '{"a": 1, "b": [1, 2.0]}'}]
+    b = [{"value": '{"b":[1,2],"a":1}', "attribute_type_id": '"x"'}]
+    c = [{"value": '{"b":[2,1],"a":1}', "attribute_type_id": '"x"'}]
+    got = [r[0] for r in spark.createDataFrame([(a,), (b,), (c,)], f"a {ATTRS}").select(graph.attribute_signature("a")).collect()]
+    assert got[0] == got[1] != got[2]
+    nb = f"msg_id string, result_pos int, code_pos int, code string, bind_pos int, id string, attributes {ATTRS}, rest string"
+    eb = "msg_id string, result_pos int, analysis_pos int, code_pos int, code string, bind_pos int, id string, rest string"
+    nodes = spark.createDataFrame([("m", k, 0, "n", 0, "X", x, '{"q":1, "p": 2}' if k else '{"p": 2, "q": 1}') for k, x in enumerate((a, b, c))], nb)
+    edges = spark.createDataFrame([("m", k, 0, 0, "e", 0, "E", None) for k in range(3)], eb)
+    assert sorted(r["result_pos"] for r in graph.nested_results(nodes, edges).collect()) == [0, 2]
+    one = lambda c: spark.range(1).select(c).first()[0]
+    assert one(exprs.canonical_json(F.lit("not json"))) == "not json" and one(exprs.canonical_json(F.lit('{"b":[ 1.50 ],"a":null}'))) == '{"a":null,"b":[1.5]}'
+
+
 @pytest.mark.parametrize(("count", "own", "new"), [(0, "1", "2"), (1, None, "3")])
 def test_attribute_merge(spark, count, own, new):
     key = "k" if own else "k.1"
@@ -106,14 +122,31 @@ def test_compendium_files(spark, tmp_path):
     assert [r["identifiers"][0]["i"] for r in rows] == [f"A:{k}" for k in range(7)] and rows[0]["ic"] == "5"
     with pytest.raises(scan.InvalidFile):
         scan.scan_compendium(spark, [str(bad)], strict=True)
+    # names with blanks, and one that ends like another; a missing file is warned of
+    for k, name in enumerate(("Gene Protein.txt", "Protein.txt", "Gene+Protein.txt")):
+        (tmp_path / name).write_text(json.dumps({"type": "t", "identifiers": [{"i": f"N:{k}"}]}) + "\n")
+    paths = scan.compendium_paths(str(tmp_path), ["Gene Protein.txt", "absent.txt", "Protein.txt", "Gene+Protein.txt"])
+    with pytest.warns(UserWarning, match="file not found: absent.txt"):
+        found = scan.scan_compendium(spark, paths)
+    assert sorted((r["identifiers"][0]["i"], r["file_idx"]) for r in found.collect()) == [("N:0", 0), ("N:1", 2), ("N:2", 3)]
+    (tmp_path / "empty.txt").write_text("")
+    with pytest.raises(scan.InvalidFile, match="is empty"):
+        scan.scan_compendium(spark, [str(tmp_path / "empty.txt")])
     lists = tmp_path / "c.txt"
     lists.write_text('["A", "B"]\n["B", "C"]\n')
     assert {r["member"]: r["members"] for r in scan.scan_conflation(spark, str(lists), "n").collect()} == {"A": ["A", "B"], "B": ["B", "C"], "C": ["B", "C"]}
 
 
 def test_source_files(spark, tmp_path):
-    (tmp_path / "b.csv").write_text("x:1,T,,,,Name,,8th\nshort,row\nx:2,T,,,,N2,,8,Own\n")
-    assert [(r["node_id"], r["node_source"]) for r in scan.scan_biokde(spark, str(tmp_path / "b.csv")).collect()] == [("x:1", "BioKDE"), ("x:2", "Own")]
+    (tmp_path / "b.csv").write_text('x:1,T,,,,Name,,8th\nshort,row\n\nx:2,T,,,,N2,,8,Own\nx:3,"a, b",,,,"say ""x""",,\nx:4,"a,b,c,d,e,f,g,h",,\nx:5,T,,,,N5,,8,\n')
+    assert [tuple(r) for r in scan.scan_biokde(spark, str(tmp_path / "b.csv")).collect()] == [("x:1", "T", "Name", "BioKDE"), ("x:2", "T", "N2", "Own"), ("x:3", "a, b", 'say "x"', "BioKDE"), ("x:5", "T", "N5", "")]
+    (tmp_path / "s.csv").write_text("0,1,2,C1,name,type,6,7,8,9,10,11,\n0,1,2,C2,n,t,6,7,8,9,10,11\n0,1,2,C3,n,t,6,7,8,9,10,11,S,more\n")
+    assert [tuple(r) for r in scan.scan_semmeddb(spark, str(tmp_path / "s.csv")).collect()] == [("C1", "type", "name", ""), ("C3", "t", "n", "S")]
+    (tmp_path / "i.csv").write_text("id,type,external_id,official_name\n1,Gene,NCBI:5,\n")
+    assert [tuple(r) for r in scan.scan_ikraph(spark, str(tmp_path / "i.csv")).collect()] == [("NCBI:5", "Gene", "", "iKGraph")]
+    (tmp_path / "p.csv").write_text('node_id,node_type,node_name,node_source\n1,drug,"a, b",DrugBank\n')
+    assert [tuple(r) for r in scan.scan_primekg(spark, str(tmp_path / "p.csv")).collect()] == [("1", "drug", "a, b", "PrimeKG")]
+    assert [tuple(r) for r in scan.scan_primekg_sources(spark, str(tmp_path / "p.csv")).collect()] == [("1", "drug", "a, b", "DrugBank")]
     (tmp_path / "c.csv").write_text("input_curie\n A:1 \n\nB:2\n")
     assert [r[0] for r in scan.scan_curies(spark, str(tmp_path / "c.csv")).collect()] == ["A:1", "B:2"]
     (tmp_path / "n.json").write_text(json.dumps({"A:1": {"id": {"identifier": "A:1"}, "equivalent_identifiers": [{"identifier": "A:1"}], "type": ["t"]}}, indent=1))
@@ -189,4 +222,43 @@ def test_equivalence_graph(spark):
     assert {tuple(r) for r in eqgraph.equivalence_edges(df).collect()} == {("a", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("e", "f")}
     assert {r["component"]: r["n"] for r in eqgraph.component_sizes(df).collect()} == {"a": 4, "e": 2, "g": 1}
     got = {r["metric"]: r["value"] for r in eqgraph.graph_summary(df).collect()}
-    assert (got["nodes"], got["edges"], got["components"]) == (7, 5, 3) and abs(got["clustering_sum"] - (1 + 1 + 1 / 3)) < 1e-9
+    assert (got["nodes"], got["edges"], got["components"]) == (7, 5, 3) and abs(got["average_clustering"] - (1 + 1 + 1 / 3) / 7) < 1e-9
+
+
+def test_graph_files(spark, tmp_path):
+    df = spark.createDataFrame([("a", 'an "a" & b', [("b", "x")]), ("b", None, [("a", "x"), ("z", "x")]), ("c", "c", [])], ENTITY.replace("types array<string>, ", ""))
+    vertices, edges = eqgraph.graph_tables(df)
+    names = {r["id"]: r["entity_id"] for r in vertices.collect()}
+    assert sorted(names.values()) == ["a", "b", "c"] and [(names[r[0]], names[r[1]]) for r in edges.collect()] == [("a", "b")]
+    eqgraph.write_gml(df, str(tmp_path / "gml"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "gml").glob("part-*")))
+    lines = text.splitlines()
+    assert lines[0] == "graph [" and lines[-1] == "]" and len(lines) == 6
+    assert sum(x.startswith("  node [ id ") for x in lines[1:4]) == 3 and lines[4].startswith("  edge [ source ")
+    assert '"an &quot;a&quot; &amp; b"' in text
+
+
+def test_reports(spark, tmp_path):
+    rows = [(0, "1", "disease", "n", "MONDO"), (1, "7", "disease", "n", "nowhere"), (2, "2", "drug", None, "DrugBank")]
+    df = spark.createDataFrame(rows, "pos int, node_id string, node_type string, node_name string, node_source string")
+    report = mappers.mapping_report(df)
+    assert tuple(report["totals"].first()) == (3, 2, 100.0 * 2 / 3)
+    sinks.write_report(report, str(tmp_path / "mapping"))
+    assert spark.read.json(str(tmp_path / "mapping" / "types")).count() == 2 and spark.read.json(str(tmp_path / "mapping" / "unmapped")).first()["example"] == "7 (n) [source: nowhere]"
+    assert mappers.mapping_totals(df.limit(0)).first()["percent"] == 0
+    merged = spark.createDataFrame([("1", "1", "one", ["biolink:A"], [("1", "x")], ["A"])], "entity_id string, identifier string, label string, types array<string>, equivalents array<struct<identifier: string, label: string>>, sources array<string>")
+    sinks.write_report(quality.quality_report(merged), str(tmp_path / "quality"))
+    assert {r["metric"]: r["value"] for r in spark.read.json(str(tmp_path / "quality" / "metrics")).collect()}["total"] == 1
+
+
+def test_exports(spark, index, tmp_path):
+    cliques = spark.createDataFrame(CLIQUES, CLIQUE)
+    kgx.export_kgx(cliques, index.type_ancestors, str(tmp_path / "kgx"))
+    assert spark.read.json(str(tmp_path / "kgx" / "edges")).count() == kgx.kgx_edges(cliques).count()
+    assert set(spark.read.json(str(tmp_path / "kgx" / "nodes")).columns) == {"id", "name", "category", "equivalent_identifiers"}
+    answers = normalize(spark.createDataFrame([("doid:3812",), ('odd"one',)], "curie string"), index)
+    sinks.write_normalized_json(answers, str(tmp_path / "json"))
+    back = {r["entity_id"]: r["id"] for r in scan.scan_normalized(spark, str(tmp_path / "json"), lines=True).collect()}
+    assert back['odd"one'] is None and back["doid:3812"]["identifier"] == "MONDO:0005002"
+    sinks.write_compendium(mappers.csv_record(spark.createDataFrame([("1", "disease", "", "own")], "node_id string, node_type string, node_name string, node_source string"), mappers.map_primekg(), "primekg"), str(tmp_path / "c"))
+    assert spark.read.text(str(tmp_path / "c")).first()[0] == '{"type":"biolink:disease","identifiers":[{"i":"MONDO:1","l":"MONDO:1"}]}'
