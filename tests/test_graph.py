@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from cliquespark.functions import exprs
 from cliquespark.operators import eqgraph, graph, kgx, mappers, merge, quality
 from cliquespark.operators.normalize import normalize
-from cliquespark.sources import scan, sinks
-from cliquespark.streaming.lookups import normalize_stream
+from cliquespark.sources import scan, settings, sinks, tables
+from cliquespark.streaming.lookups import answer_table, normalize_stream
 from tests.fixtures import CLIQUE, CLIQUES, small_index
 
 ATTRS = graph.ATTRIBUTES
@@ -137,6 +137,32 @@ def test_compendium_files(spark, tmp_path):
     assert {r["member"]: r["members"] for r in scan.scan_conflation(spark, str(lists), "n").collect()} == {"A": ["A", "B"], "B": ["B", "C"], "C": ["B", "C"]}
 
 
+def test_settings(spark, index, tmp_path):
+    (tmp_path / "comps").mkdir()
+    (tmp_path / "confs").mkdir()
+    for k, name in enumerate(("B.txt", "A.txt")):
+        (tmp_path / "comps" / name).write_text(json.dumps({"type": "biolink:Gene", "identifiers": [{"i": f"N:{k}", "l": name}, {"i": "SAME:1"}]}) + "\n")
+    (tmp_path / "confs" / "GeneProtein.txt").write_text('["N:0", "N:1"]\n')
+    made = {"compendium_directory": str(tmp_path / "comps"), "conflation_directory": str(tmp_path / "confs"), "redis_host": "x", "data_files": ["B.txt", "A.txt"], "conflations": [{"types": [], "file": "GeneProtein.txt", "redis_db": "x"}], "test_mode": 0, "preferred_name_boost_prefixes": {"t": ["X"]}, "demote_labels_longer_than": 9}
+    (tmp_path / "config.json").write_text(json.dumps(made, indent=1))
+    found = settings.load_settings(spark, str(tmp_path / "config.json"))
+    assert found.data_files == ("B.txt", "A.txt") and found.conflations == (("GeneProtein", "GeneProtein.txt"),) and not found.dry_run
+    assert found.config.boost_prefixes == {"t": ("X",)} and found.config.demote_labels_longer_than == 9 and found.config.conflations == ("GeneProtein",)
+    built = settings.index_from_settings(spark, found, index.type_ancestors)
+    got = normalize(spark.createDataFrame([("same:1",), ("n:1",)], "curie string"), built, conflate=False).collect()
+    assert {r["curie"]: r["identifier"] for r in got} == {"same:1": "N:1", "n:1": "N:1"}
+
+
+def test_intermediate_tables_are_released(spark):
+    kept = dict(tables._WRITTEN)
+    tables._WRITTEN.clear()
+    df = tables.materialize(spark.range(3), "some")
+    assert df.count() == 3 and tables.release(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(df.inputFiles()[0]).count()
+    tables._WRITTEN.update(kept)
+
+
 def test_source_files(spark, tmp_path):
     (tmp_path / "b.csv").write_text('x:1,T,,,,Name,,8th\nshort,row\n\nx:2,T,,,,N2,,8,Own\nx:3,"a, b",,,,"say ""x""",,\nx:4,"a,b,c,d,e,f,g,h",,\nx:5,T,,,,N5,,8,\n')
     assert [tuple(r) for r in scan.scan_biokde(spark, str(tmp_path / "b.csv")).collect()] == [("x:1", "T", "Name", "BioKDE"), ("x:2", "T", "N2", "Own"), ("x:3", "a, b", 'say "x"', "BioKDE"), ("x:5", "T", "N5", "")]
@@ -161,12 +187,16 @@ def test_index_round_trip(spark, index, tmp_path):
 
 
 def test_stream(spark, index, tmp_path):
-    spark.createDataFrame([("doid:3812",), ("nothing",)], "curie string").write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame([("doid:3812",), ("HGNC:11603",), ("nothing",)], "curie string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("curie string").parquet(str(tmp_path / "in"))
-    query = normalize_stream(stream, index).writeStream.format("memory").queryName("answers").start()
+    answers = answer_table(index, ("GeneProtein", "DrugChemical"))
+    whole = normalize(spark.createDataFrame([("doid:3812",), ("HGNC:11603",)], "curie string"), index, drug_chemical_conflate=True)
+    expected = {r["curie"]: (r["identifier"], r["label"], r["types"]) for r in whole.collect()}
+    query = normalize_stream(stream, index, answers).writeStream.format("memory").queryName("answers").start()
     query.processAllAvailable()
     query.stop()
-    assert {r["curie"]: r["identifier"] for r in spark.table("answers").collect()} == {"doid:3812": "MONDO:0005002", "nothing": None}
+    got = {r["curie"]: (r["identifier"], r["label"], r["types"]) for r in spark.table("answers").collect()}
+    assert got == {**expected, "nothing": (None, None, None)} and expected["HGNC:11603"][0] == "UniProtKB:P1"
 
 
 def test_mappers(spark):
