@@ -1,14 +1,14 @@
 """Token counts per section by offset-mapped attribution.
 
 Whole documents are encoded once; each token comes with the character span that it was made
-from. Spans are joined to the sections' intervals by binary search inside the document, so
+from, put together from the spans inside the pieces between single spaces, which repeat. Spans are joined to the sections' intervals by binary search inside the document, so
 nothing is encoded twice and nothing is shuffled. A token whose span crosses a boundary goes
 by an explicit rule: ``majority`` (the section with most of its characters, the earlier one on
 a tie), ``first`` or ``last``. Tokens of one multi-byte character share its span and count one
 each. Tokens that touch no section are counted as outside.
 
-Defined results: a null or empty text has no tokens, and one empty section in the query;
-overlapping or unsorted sections are refused; rows with a null or repeated ``doc_id`` are counted
+Defined results: a null or empty text has no tokens, and one empty section in the query; very long
+texts are encoded in whole; overlapping or unsorted sections are refused; rows with a null or repeated ``doc_id`` are counted
 like any other; an empty table gives an empty result; other columns are neither read nor returned.
 """
 
@@ -25,8 +25,8 @@ from cliquespark.llm.shared import texts
 
 RULES = ("majority", "first", "last")
 COUNTS = "doc_id long, n_tokens long, n_sections long, n_crossing long, n_outside long, section_tokens array<long>"
-#: Characters that are encoded together; an encoding with offsets takes about 100 bytes a character.
-BLOCK_CHARS = 250_000
+#: Characters that are encoded together.
+BLOCK_CHARS = 1_000_000
 
 
 def line_sections(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -71,13 +71,11 @@ def count_tokens(docs: DataFrame, sections: Callable[[str], tuple[np.ndarray, np
     path = tokenizer_path or tokens.byte_bpe_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = tokens.load_tokenizer(path)
+        coder = tokens.SpanEncoder(tokens.encoder(path))
         for batch in batches:
-            rows = list(zip(batch["doc_id"].to_pylist(), (t or "" for t in batch["text"].to_pylist()), strict=True))
-            for block in tokens.in_blocks(rows, BLOCK_CHARS):
+            for block in tokens.in_blocks(batch, BLOCK_CHARS):
                 out: tuple[list, ...] = ([], [], [], [], [], [])
-                for (doc, text), encoding in zip(block, tokenizer.encode_batch([t for _, t in block], add_special_tokens=False), strict=True):
-                    spans = np.array(encoding.offsets, np.int64).reshape(-1, 2)
+                for (doc, text), spans in zip(block, coder.encode([t for _, t in block]), strict=True):
                     counts, crossing, outside = attribute(spans, *sections(text), rule)
                     for column, value in zip(out, (doc, len(spans), len(counts), crossing, outside, counts), strict=True):
                         column.append(value)
