@@ -1,22 +1,27 @@
 """Line dedup with sharded cuckoo filters over exact reference-count tables.
 
-The exact table has one row per line key: how many lines refer to it and the smallest and
-largest document that holds it. A key is shared if those two differ; its lines stay only in
-the smallest document. Cuckoo filters, one per hash shard, hold the shared keys in two
-bytes each: lines whose key is in no filter pass at once, and only the others meet the exact
-table, which settles every false positive. Inserting a batch adds to counts and filters;
-deleting documents subtracts from them and takes keys that are no longer shared out of the
-filters, so a deletion undoes the insertion.
+A line's key is known by 128 bits of hash. The table of keys has one row each: how many lines
+refer to it and the smallest and largest document that holds it. A key is shared if those two
+differ; its lines stay only in the smallest document. Cuckoo filters, one per hash shard, hold the
+shared keys in two bytes each: lines whose key is in no filter pass at once, and only the others
+meet the exact table, which settles every false positive. Lines are dealt to their shard's filter
+in blocks of a bounded number, so a key that holds a third of all lines is probed in many tasks,
+each with a copy of one filter.
+
+Incremental use keeps the references per key and document (:func:`line_counts`), from which the
+table of keys follows. Inserting a batch adds to them, deleting documents subtracts, and the filters
+take in keys that became shared and lose those that no longer are; a deletion needs nothing but the
+deleted documents and undoes the insertion.
 
 Defined results: null and empty texts have one empty line; a null ``doc_id`` is a document
-after all others; rows that repeat a ``doc_id`` belong to one document; an empty table gives
-an empty result; other columns are neither read nor returned.
+after all others; rows that repeat a ``doc_id`` belong to one document, and their texts stay apart;
+a document that holds a key several times keeps all of these lines if it is the smallest; very long
+texts are lines like any others; an empty table gives an empty result; other columns pass through
+whatever their names, and ``line_digests`` leaves them out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,9 +31,10 @@ from pyspark.sql import functions as F
 from cliquespark.llm.shared import materialize, texts
 
 LEAST_CHARS = 10
-KEYS_PER_SHARD = 20_000
-#: Filters up to this many bytes together are sent to every executor; beyond it lines are dealt to their filter's shard.
-BROADCAST_BYTES = 32 << 20
+#: Shared keys of a filter, until there are so many shards.
+KEYS_PER_SHARD, MOST_SHARDS = 8_192, 65_536
+#: Lines that are probed together: a 4096th of all within these bounds.
+LEAST_BLOCK, LARGEST_BLOCK = 16_384, 1 << 20
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LAST_DOC = (1 << 63) - 1
@@ -106,14 +112,18 @@ class CuckooFilter:
         return not len(bucket)
 
     def delete(self, keys: np.ndarray) -> None:
-        """Take out keys that are known to be in; one fingerprint each."""
+        """Take out keys that are known to be in; one fingerprint each.
+
+        A fingerprint and one bucket give the other bucket, so equal fingerprints in a pair of
+        buckets stand for each other: of each such group as many go as there are keys.
+        """
         first, prints = self._place(keys)
-        for a, p in zip(first, prints, strict=True):
-            for bucket in (a, int(self._other(np.array([a]), np.array([p]))[0])):
-                slot = np.flatnonzero(self.table[bucket] == p)
-                if len(slot):
-                    self.table[bucket, slot[0]] = 0
-                    break
+        second = self._other(first, prints)
+        groups, many = np.unique(np.stack([np.minimum(first, second), np.maximum(first, second), prints.astype(np.int64)], axis=1), axis=0, return_counts=True)
+        low, high, print_ = groups.reshape(-1, 3).T
+        equal = np.concatenate([self.table[low] == print_[:, None], (self.table[high] == print_[:, None]) & (low != high)[:, None]], axis=1)
+        row, slot = np.nonzero(equal & (np.cumsum(equal, axis=1) <= many[:, None]))
+        self.table[np.where(slot < SLOTS, low[row], high[row]), slot % SLOTS] = 0
 
     @classmethod
     def of(cls, keys: np.ndarray) -> CuckooFilter:
@@ -152,23 +162,29 @@ def keyed_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
 
 
 def reference_table(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """The exact table: ``h1, h2, refs, first_doc, last_doc``. Counts, minima and maxima combine before the shuffle."""
+    """The table of keys: ``h1, h2, refs, first_doc, last_doc``. Counts, minima and maxima combine before the shuffle."""
     return keyed_lines(docs, least_chars).groupBy("h1", "h2").agg(F.count("*").alias("refs"), F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
 
 
-def insert_documents(table: DataFrame, docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """The table after a batch of new documents."""
-    return table.unionByName(reference_table(docs, least_chars)).groupBy("h1", "h2").agg(F.sum("refs").alias("refs"), F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc"))
+def line_counts(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """The references per key and document, ``h1, h2, doc, refs``: what incremental use keeps."""
+    return keyed_lines(docs, least_chars).groupBy("h1", "h2", "doc").agg(F.count("*").alias("refs"))
+
 
+def key_table(counts: DataFrame) -> DataFrame:
+    """:func:`reference_table` from :func:`line_counts`."""
+    return counts.groupBy("h1", "h2").agg(F.sum("refs").alias("refs"), F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
 
-def delete_documents(table: DataFrame, deleted: DataFrame, remaining: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """The table after documents left: counts go down, and keys whose first or last document left are looked up among ``remaining``."""
-    gone = reference_table(deleted, least_chars).select("h1", "h2", F.col("refs").alias("gone"), F.col("first_doc").alias("gone_first"), F.col("last_doc").alias("gone_last"))
-    after = table.join(gone, ["h1", "h2"], "left").withColumn("refs", F.col("refs") - F.coalesce("gone", F.lit(0))).filter("refs > 0")
-    moved = F.coalesce((F.col("gone_first") == F.col("first_doc")) | (F.col("gone_last") == F.col("last_doc")), F.lit(False))
-    kept = after.filter(~moved).select("h1", "h2", "refs", "first_doc", "last_doc")
-    again = keyed_lines(remaining, least_chars).join(after.filter(moved).select("h1", "h2"), ["h1", "h2"], "left_semi")
-    return kept.unionByName(again.groupBy("h1", "h2").agg(F.count("*").alias("refs"), F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc")))
+
+def insert_documents(counts: DataFrame, docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """The counts after a batch of new documents."""
+    return counts.unionByName(line_counts(docs, least_chars)).groupBy("h1", "h2", "doc").agg(F.sum("refs").alias("refs"))
+
+
+def delete_documents(counts: DataFrame, deleted: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
+    """The counts after documents left."""
+    gone = line_counts(deleted, least_chars).withColumn("refs", -F.col("refs"))
+    return counts.unionByName(gone).groupBy("h1", "h2", "doc").agg(F.sum("refs").alias("refs")).filter("refs > 0")
 
 
 def shared_keys(table: DataFrame) -> DataFrame:
@@ -202,65 +218,61 @@ def update_filters(filters: DataFrame, n_shards: int, added: DataFrame, removed:
     return filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(apply, "shard int, filter binary")
 
 
-def probe(lines: DataFrame, filters: DataFrame, n_shards: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The lines that some filter may hold."""
-    columns, schema = lines.columns, lines.schema
-    size = filters.agg(F.sum(F.length("filter"))).first()[0] or 0
-    if size <= broadcast_bytes:
-        sent = lines.sparkSession.sparkContext.broadcast({r["shard"]: r["filter"] for r in filters.collect()})
-
-        def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            loaded = {k: CuckooFilter.from_bytes(v) for k, v in sent.value.items()}
-            for batch in batches:
-                keys, shards = batch["h1"].to_numpy(), batch["h2"].to_numpy() % n_shards
-                hit = np.zeros(len(keys), bool)
-                order = np.argsort(shards, kind="stable")
-                cuts = np.flatnonzero(np.diff(shards[order])) + 1
-                for part in np.split(order, cuts) if len(order) else []:
-                    if (one := loaded.get(int(shards[part[0]]))) is not None:
-                        hit[part] = one.contains(keys[part])
-                yield batch.filter(pa.array(hit))
+def shard_blocks(table: DataFrame, filters: DataFrame, n_shards: int) -> DataFrame:
+    """``shard, blocks``: among how many blocks the lines of each shard that has a filter are dealt."""
+    loads = table.groupBy(shard_of(n_shards).alias("shard")).agg(F.sum("refs").alias("lines")).join(filters.select("shard"), "shard")
+    total = loads.agg(F.sum("lines")).first()[0] or 0
+    block = min(LARGEST_BLOCK, max(LEAST_BLOCK, total // 4096))
+    return loads.select("shard", F.ceil(F.col("lines") / F.lit(block)).cast("int").alias("blocks"))
 
-        return lines.mapInArrow(test, schema)
 
-    dealt = lines.withColumn("shard", shard_of(n_shards)).join(filters, "shard")
+def probe(lines: DataFrame, filters: DataFrame, blocks: DataFrame, n_shards: int) -> DataFrame:
+    """The lines that some filter may hold. ``blocks`` has ``MOST_SHARDS`` rows at most and is sent to every executor."""
+    columns = lines.columns
+    dealt = lines.withColumn("shard", shard_of(n_shards)).join(F.broadcast(blocks), "shard")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("doc", "row", "pos"), F.col("blocks")).cast("int")).drop("blocks")
+    copies = filters.join(F.broadcast(blocks), "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "filter")
 
-    def test_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, hit = batch["h1"].to_numpy(), np.zeros(batch.num_rows, bool)
-            for k, data in enumerate(batch["filter"]):
-                hit[k] = CuckooFilter.from_bytes(data.as_py()).contains(keys[k : k + 1])[0]
-            yield batch.select(columns).filter(pa.array(hit))
+    def test(some: pa.Table, held: pa.Table) -> pa.Table:
+        hit = np.zeros(some.num_rows, bool)
+        if some.num_rows and held.num_rows:
+            hit = CuckooFilter.from_bytes(held["filter"][0].as_py()).contains(some["h1"].to_numpy())
+        return some.select(columns).filter(pa.array(hit))
 
-    return dealt.mapInArrow(test_joined, schema)
+    return dealt.groupBy("shard", "block").cogroup(copies.groupBy("shard", "block")).applyInArrow(test, lines.schema)
 
 
-def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def dropped_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
     """``doc``, ``row`` and the positions of the lines that go."""
-    shared = materialize(shared_keys(reference_table(docs, least_chars)), "shared-lines")
-    n_shards = max(1, -(-shared.count() // KEYS_PER_SHARD))
+    table = materialize(reference_table(docs, least_chars), "line-keys")
+    shared = shared_keys(table)
+    n_shards = min(MOST_SHARDS, max(1, -(-shared.count() // keys_per_shard)))
     filters = materialize(build_filters(shared, n_shards), "line-filters")
-    maybe = probe(keyed_lines(docs, least_chars), filters, n_shards, broadcast_bytes)
-    sure = maybe.join(shared, ["h1", "h2"]).filter("first_doc < doc")
+    blocks = materialize(shard_blocks(table, filters, n_shards), "line-blocks", MOST_SHARDS)
+    maybe = probe(keyed_lines(docs, least_chars), filters, blocks, n_shards)
+    # shared keys and texts grow with the corpus, so both joins are dealt by key at every size
+    sure = maybe.join(shared.hint("merge"), ["h1", "h2"]).filter("first_doc < doc")
     return sure.groupBy("doc", "row").agg(F.collect_set("pos").alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """All columns of ``docs`` with the text less its repeated lines, and ``n_lines__`` and ``n_dropped__``."""
-    drops = dropped_lines(texts(docs, id_col, text_col), least_chars, broadcast_bytes)
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, counts: bool = False, keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
+    """All columns of ``docs`` with the text less its repeated lines; ``counts``: ``doc_id``, ``text``, ``n_lines`` and ``n_dropped`` instead."""
+    # written first, so that the join can be split where many rows without an id have the same text
+    drops = materialize(dropped_lines(texts(docs, id_col, text_col), least_chars, keys_per_shard), "dropped-lines")
     # the row travels as one column, so that its names cannot clash with those of the join
     plain = F.col(text_col).cast("string")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_DOC)).alias("doc"), F.xxhash64(plain).alias("row"), plain.alias("t"))
-    joined = keyed.join(drops, ["doc", "row"], "left")
+    joined = keyed.join(drops.hint("merge"), ["doc", "row"], "left")
     lines = split_lines(F.col("t"))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("drop"))
     # the array of one binds the lines to a name, so that they are split once per text and not once per line
     rest = F.transform(F.array(lines), lambda ls: F.array_join(F.transform(kept, lambda i: ls[i]), "\n"))[0]
     text = F.when(F.col("drop").isNull(), F.coalesce("t", F.lit(""))).otherwise(rest)
-    columns = [text.alias(c) if c == text_col else F.col("r")[c].alias(c) for c in docs.columns]
-    return joined.select(*columns, F.size(lines).cast("long").alias("n_lines__"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped__"))
+    if counts:
+        return joined.select(F.col("r")[id_col].cast("long").alias("doc_id"), text.alias("text"), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select(*[text.alias(c) if c == text_col else F.col("r")[c].alias(c) for c in docs.columns])
 
 
 def line_digests(docs: DataFrame) -> DataFrame:
     """The contract's rows."""
-    return dedup_lines(texts(docs)).select("doc_id", F.col("n_lines__").alias("n_lines"), F.col("n_dropped__").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+    return dedup_lines(texts(docs), counts=True).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
