@@ -18,14 +18,15 @@ named by their smallest ``doc_id``.
 
 Defined results: documents without a word (null or empty) are one class; shorter ones than five
 words are in a class with copies only; rows that repeat a ``doc_id`` are one document; a null
-``doc_id`` has the class of its copies, if any, and else none; an empty table gives an empty
-result; other columns are neither read nor returned.
+``doc_id`` has the class of its copies, if any, and else none; very long texts are compared
+in whole, a pair in time that grows with their length times their distance; of several documents that
+could name a class the smallest ``doc_id`` does; an empty table gives an empty result; other
+columns pass through ``representatives`` whatever their names, and ``classes`` leaves them out.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,32 +43,22 @@ SIMILARITY = 0.8
 SKETCHES = 24
 PICKED = 3
 #: Texts of a set in a block; two blocks are compared in one call.
-BLOCK = 256
+BLOCK = 128
 #: Counters of words that bound the distance of two texts from below.
 COUNTERS = 1024
+#: Hashes that are compared at once for the sketches of one text.
+TOGETHER = 1 << 21
+#: Up to this band diagonals are followed one by one, beyond it all together.
+SHORT_BAND = 64
 WORD = re.compile(r"\w+")
-MEMO_WORDS = 400_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    """64-bit hashes of words; forgets everything when it has grown to ``MEMO_WORDS``."""
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_HASHES = WordHashes()
-
-
 def word_hashes(text: str) -> np.ndarray:
+    import xxhash
+
     words = WORD.findall(text.lower())
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -101,47 +92,28 @@ def order_sketches(words: np.ndarray, sketches: int = SKETCHES, picked: int = PI
         return []
     grams = labelled_shingles(words)
     table = seeds(sketches)
-    values = (grams[None, :] ^ table[:, :1]) * table[:, 1:]
-    values ^= values >> np.uint64(31)
-    if len(grams) > picked:
-        at = np.sort(np.argpartition(values, picked - 1, axis=1)[:, :picked], axis=1)
-    else:
-        at = np.tile(np.arange(len(grams)), (sketches, 1))
-    chosen, out = grams[at], table[:, 0].copy()
-    for k in range(at.shape[1]):
-        out = mixed(out * MIX + chosen[:, k])
+    out = table[:, 0].copy()
+    # a very long text takes a few sketches at a time
+    step = max(1, TOGETHER // len(grams))
+    for part in range(0, sketches, step):
+        some = table[part : part + step]
+        if len(grams) > picked:
+            values = (grams[None, :] ^ some[:, :1]) * some[:, 1:]
+            values ^= values >> np.uint64(31)
+            at = np.sort(np.argpartition(values, picked - 1, axis=1)[:, :picked], axis=1)
+        else:
+            at = np.tile(np.arange(len(grams)), (len(some), 1))
+        chosen = grams[at]
+        for k in range(at.shape[1]):
+            out[part : part + step] = mixed(out[part : part + step] * MIX + chosen[:, k])
     return out.view(np.int64).tolist()
 
 
-def banded_distance(a: list[int], b: list[int], band: int) -> int | None:
-    """Edit distance in words if it is at most ``band``, else None.
-
-    Diagonals outside the band are never entered. Within it each distance extends the furthest
-    point of every diagonal, so near copies take little more than one pass over their words.
-    """
-    if abs(len(a) - len(b)) > band:
-        return None
-    first, limit = 0, min(len(a), len(b))
-    while first < limit and a[first] == b[first]:
-        first += 1
-    a, b = a[first:], b[first:]
-    limit, last = min(len(a), len(b)), 0
-    while last < limit and a[-1 - last] == b[-1 - last]:
-        last += 1
-    a, b = a[: len(a) - last], b[: len(b) - last]
+def short_distance(a: list[int], b: list[int], band: int) -> int | None:
+    """:func:`banded_distance` of lists without a common start, a diagonal at a time."""
     n, m = len(a), len(b)
-    if not n or not m:
-        return max(n, m) if max(n, m) <= band else None
-    if max(n, m) - sum((Counter(a) & Counter(b)).values()) > band:
-        return None
     goal = m - n
     reach = {0: 0}
-    at = 0
-    while at < n and at < m and a[at] == b[at]:
-        at += 1
-    reach[0] = at
-    if goal == 0 and at >= n:
-        return 0
     for distance in range(1, band + 1):
         fresh = {}
         for diagonal in range(max(-distance, -n, -band), min(distance, m, band) + 1):
@@ -157,14 +129,78 @@ def banded_distance(a: list[int], b: list[int], band: int) -> int | None:
             fresh[diagonal] = i
         if fresh.get(goal, -1) >= n:
             return distance
-        reach = {**reach, **fresh}
+        reach |= fresh
     return None
 
 
+def run_length(a: np.ndarray, b: np.ndarray) -> int:
+    """How long two arrays are equal from their start."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        differ = np.flatnonzero(a[at : min(n, at + step)] != b[at : min(n, at + step)])
+        if len(differ):
+            return at + int(differ[0])
+        at, step = at + step, step * 4
+    return n
+
+
+def long_distance(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
+    """:func:`banded_distance` of arrays without a common start, all diagonals at once."""
+    n, m = len(a), len(b)
+    goal, zero, never = m - n, band + 1, -(1 << 40)
+    reach = np.full(2 * band + 3, never, np.int64)
+    reach[zero] = 0
+    for distance in range(1, band + 1):
+        left = band - distance
+        low, high = max(-distance, -n, goal - left), min(distance, m, goal + left)
+        if low > high:
+            return None
+        at = np.arange(low, high + 1)
+        here = zero + low, zero + high + 1
+        x = np.maximum(np.maximum(reach[here[0] : here[1]], reach[here[0] + 1 : here[1] + 1]) + 1, reach[here[0] - 1 : here[1] - 1])
+        x = np.minimum(x, np.minimum(n, m - at))
+        x[(x < 0) | (x + at < 0)] = never
+        going = np.flatnonzero((x >= 0) & (x < n) & (x + at < m))
+        while len(going) > 4:
+            going = going[a[x[going]] == b[x[going] + at[going]]]
+            x[going] += 1
+            going = going[(x[going] < n) & (x[going] + at[going] < m)]
+        for k in going:
+            x[k] += run_length(a[x[k] :], b[x[k] + at[k] :])
+        reach[here[0] : here[1]] = x
+        if low <= goal <= high and x[goal - low] >= n:
+            return distance
+    return None
+
+
+def banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
+    """Edit distance in words if it is at most ``band``, else None.
+
+    Diagonals outside the band are never entered. Within it each distance extends the furthest
+    point of every diagonal, so near copies take little more than one pass over their words.
+    """
+    if abs(len(a) - len(b)) > band:
+        return None
+    first = run_length(a, b)
+    a, b = a[first:], b[first:]
+    last = run_length(a[::-1], b[::-1])
+    a, b = a[: len(a) - last], b[: len(b) - last]
+    longest = max(len(a), len(b))
+    if not len(a) or not len(b):
+        return longest if longest <= band else None
+    # words that only one has; each edit takes at most one of them
+    common = np.minimum(np.bincount(a % COUNTERS, minlength=COUNTERS), np.bincount(b % COUNTERS, minlength=COUNTERS)).sum()
+    if longest - common > band:
+        return None
+    if band <= SHORT_BAND:
+        return short_distance(a.tolist(), b.tolist(), band)
+    return long_distance(a, b, band)
+
+
 def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
     longest = max(len(a), len(b))
     band = int((1 - similarity) * longest + 1e-9)
-    return banded_distance(a.tolist(), b.tolist(), band) is not None
+    return banded_distance(a, b, band) is not None
 
 
 def sketch_table(docs: DataFrame, sketches: int, picked: int) -> DataFrame:
@@ -215,22 +251,22 @@ def verify(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     return joined.select("id", "pivot", "words", "pivot_words").mapInArrow(run, "id long, pivot long, linked boolean")
 
 
-def with_pivots(members: DataFrame) -> DataFrame:
+def with_pivots(members: DataFrame, rows: int) -> DataFrame:
     """Members (``value, id, n``) of sets of two and more with the ``pivot`` of their set and its length.
 
-    The minimum per set combines before the shuffle, and the join back can be split where one
-    set holds a great part of all rows.
+    The minimum per set combines before the shuffle. It is written first, so that the join reads
+    two tables and adaptive execution can split it where one set holds a great part of all rows.
     """
     chosen = members.groupBy("value").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id"), F.col("n"))).alias("p")).filter("size > 1")
-    return members.join(chosen.select("value", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n")), "value")
+    return members.join(materialize(chosen.select("value", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n")), "pivots", rows), "value")
 
 
-def unsettled(members: DataFrame, stars: DataFrame) -> DataFrame:
+def unsettled(members: DataFrame, stars: DataFrame, rows: int) -> DataFrame:
     """``value, id, comp`` of sets whose texts are in several components, with ``most``, the largest of these there, and the numbers of texts in it and outside."""
-    named = members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("star")), "id", "left").select("value", "id", F.coalesce("star", "id").alias("comp"))
+    named = materialize(members.join(stars.select(F.col("a").alias("id"), F.col("b").alias("star")), "id", "left").select("value", "id", F.coalesce("star", "id").alias("comp")), "set-members", rows)
     sizes = named.groupBy("value", "comp").agg(F.count("*").alias("size"))
     sets = sizes.groupBy("value").agg(F.count("*").alias("comps"), F.sum("size").alias("all"), F.max(F.struct("size", "comp")).alias("m")).filter("comps > 1")
-    return named.join(sets.select("value", F.col("m.comp").alias("most"), F.col("m.size").alias("inner"), (F.col("all") - F.col("m.size")).alias("outer")), "value")
+    return named.join(materialize(sets.select("value", F.col("m.comp").alias("most"), F.col("m.size").alias("inner"), (F.col("all") - F.col("m.size")).alias("outer")), "unsettled-sets", rows), "value")
 
 
 def block_pairs(rest: DataFrame, block: int) -> DataFrame:
@@ -306,40 +342,42 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKE
     texts_ = table.filter("doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     # a sketch's value starts from its number, so that the value alone tells the sketches apart
     members = texts_.select("id", "n", F.explode("sketch").alias("value"))
-    dealt = materialize(with_pivots(members), "dealt")
+    n_docs = table.count()
+    dealt = materialize(with_pivots(members, sketches * n_docs), "dealt", sketches * n_docs)
 
     # the similarity cannot be reached if one text is too short for the other
     close = F.least("n", "pivot_n") >= similarity * F.greatest("n", "pivot_n") - 1e-9
-    pairs = materialize(dealt.filter("id <> pivot").filter(close).select("id", "pivot").distinct(), "pairs")
+    n_dealt = dealt.count()
+    pairs = materialize(dealt.filter("id <> pivot").filter(close).select("id", "pivot").distinct(), "pairs", n_dealt)
     wanted = dealt.select(F.col("id").alias("doc_id")).distinct()
     # the ids grow with the corpus, so both sides are dealt by id at every size
     words = materialize(words_of(docs.join(wanted.hint("merge"), "doc_id", "left_semi")), "words")
     judged = materialize(verify(pairs, words, similarity), "judged")
-    stars = components(judged.filter("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+    stars = components(judged.filter("linked").select(F.col("id").alias("a"), F.col("pivot").alias("b")), pairs.count())
 
-    rest = materialize(unsettled(dealt.select("value", "id"), stars), "unsettled")
+    rest = materialize(unsettled(dealt.select("value", "id"), stars, n_dealt), "unsettled", n_dealt)
     held = rest.groupBy("id").agg(F.collect_list("value").alias("held"))
     compared = block_pairs(rest, block).join(held.join(words, "id"), "id")
     links = materialize(compare_blocks(compared, similarity), "compared")
-    stars = components(stars.unionByName(links))
+    stars = components(stars.unionByName(links), stars.count() + links.count())
     named = texts_.select("k1", "k2", "id").join(stars.select(F.col("a").alias("id"), F.col("b").alias("least")), "id", "left").select("k1", "k2", F.coalesce("least", "id").alias("class_id"))
-    return table.select("doc_id", "k1", "k2").join(named, ["k1", "k2"], "left").select("doc_id", "class_id")
+    # written first, so that the join can be split where one text has very many copies
+    return table.select("doc_id", "k1", "k2").join(materialize(named, "named", n_docs), ["k1", "k2"], "left").select("doc_id", "class_id")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """All columns of one row of each group: the one of the smallest ``doc_id``, rows without one last.
 
-    Rows without an id are told apart by a number of their own; rows that repeat one are one document.
+    Rows are judged each on its own text: where ids are missing or repeated, rows get numbers of their own.
     """
-    if not docs.filter(docs[id_col].cast("long").isNull()).isEmpty():
-        rows = materialize(docs.withColumn("row__", F.monotonically_increasing_id()), "rows")
-        doc_id = rows[id_col].cast("long")
-        key = F.coalesce(doc_id, F.lit(-(1 << 63)) + rows["row__"])
-        named = classes(rows.select(key.alias("doc_id"), rows[text_col].alias("text")), similarity)
-        order = rows.select(key.alias("doc_id"), doc_id.alias("id"))
-        first = named.join(order.distinct(), "doc_id").groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "doc_id")).alias("m"))
-        stay = materialize(first.select(F.col("m.doc_id").alias("kept__")).distinct(), "representatives")
-        return rows.join(stay, key == stay["kept__"], "left_semi").drop("row__")
-    found = classes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), similarity)
-    gone = materialize(found.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone__")).distinct(), "near-copies")
-    return docs.join(gone, docs[id_col].cast("long") == gone["gone__"], "left_anti")
+    doc_id = docs[id_col].cast("long")
+    if docs.select(doc_id.alias("i")).groupBy("i").agg(F.count("*").alias("n")).filter("n > 1 OR i IS NULL").isEmpty():
+        found = classes(docs.select(doc_id.alias("doc_id"), docs[text_col].alias("text")), similarity)
+        gone = materialize(found.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone__")).distinct(), "near-copies")
+        return docs.join(gone, doc_id == gone["gone__"], "left_anti")
+    # the row travels as one column, so that its names cannot clash with the others
+    rows = materialize(docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns]).alias("r"), doc_id.alias("id"), docs[text_col].cast("string").alias("t"), F.monotonically_increasing_id().alias("key")), "rows")
+    named = classes(rows.select(F.col("key").alias("doc_id"), F.col("t").alias("text")), similarity)
+    first = named.join(rows.select(F.col("key").alias("doc_id"), "id"), "doc_id").groupBy("class_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.col("doc_id").alias("key"))).alias("m"))
+    stay = materialize(first.select("m.key"), "representatives")
+    return rows.join(stay, "key", "left_semi").select("r.*")
