@@ -12,10 +12,15 @@ little text for a reference, only the base rules decide.
 DataFrame functions only. One pass over the texts writes narrow features; the references
 and the verdicts come from those.
 
-Defined results: a null text has no words and fails the base rules; a null
-language is compared to all references; a language with too few words is not compared; without any reference (a tiny table) only the base
-rules decide; rows with a null or repeated ``doc_id`` are judged like any other; other
-columns are neither read nor returned.
+Common words are short ones by definition (``COMMON_CHARS``): function words, which tell prose from
+lists and junk whatever it is about.
+
+Defined results: a null text has no words and fails the base rules; a null language is compared to
+all references; a language with too few words is not compared; without any reference (a tiny table)
+only the base rules decide; of words as frequent as each other the first in code point order is
+the more common, of references at equal distance the one with the smaller class distance counts; very
+long texts are judged in whole; rows with a null or repeated ``doc_id`` are judged like any
+other, each on its own text; other columns pass through in ``row`` whatever their names, or are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +40,6 @@ COMMON_WORDS = 24
 COMMON_CHARS = 5
 #: A language has a reference from so many words on.
 REFERENCE_WORDS = 2_000
-#: So many references are literals of the plan at most; more are a table that is joined by language.
-LITERAL_LANGUAGES = 256
 #: Plain prose, from which references are made: at most these shares of symbols and of capitals.
 SYMBOL_SHARE = 0.02
 CAPITAL_SHARE = 0.2
@@ -81,16 +84,11 @@ def repeated_words(words: Column) -> Column:
     return F.when(F.size(words) >= 4, count).otherwise(F.lit(0)).cast("long")
 
 
-def marks(text: Column, lang: Column) -> list[Column]:
-    """128 bits of what a verdict depends on."""
-    text, lang = F.coalesce(text.cast("string"), F.lit("")), lang.cast("string")
-    return [F.xxhash64(F.lit(k), text, lang.isNull(), lang) for k in (1, 2)]
-
-
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", marked: bool = False) -> DataFrame:
-    """Base statistics, class counts and the short words of every whole text; with ``marked`` also its marks ``m1`` and ``m2``."""
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: bool = False) -> DataFrame:
+    """Base statistics, class counts and the short words of every whole text; ``rows``: also the whole row as one column ``row``."""
     ship_package(docs.sparkSession)
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"), F.col(lang_col).cast("string").alias("lang"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
+    base = docs.select(*row, F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"), F.col(lang_col).cast("string").alias("lang"))
     t = F.col("t")
     base = base.withColumns({"w": F.filter(F.split(t, SPACE_CLASS), lambda w: w != ""), "l": F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")})
     n_chars = F.length(t).cast("long")
@@ -112,7 +110,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         count_of(t, r"[^.,;:?'\"()\-]+").alias("n_point"),
         count_of(t, r"[^!]+").alias("n_bang"),
         short.alias("short"),
-        *([m.alias(f"m{k}") for k, m in enumerate(marks(t, F.col("lang")), 1)] if marked else []),
+        *(["row"] if rows else []),
     )
     known = F.col("n_lower") + F.col("n_upper") + F.col("n_digit") + F.col("n_space") + F.col("n_point") + F.col("n_bang") + F.col("n_symbols")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
@@ -151,20 +149,19 @@ def literal(reference: dict) -> Column:
     return F.struct(doubles(reference["classes"]).alias("classes"), F.array(*[F.lit(w) for w in reference["words"]]).cast("array<string>").alias("words"), doubles(reference["shares"]).alias("shares"))
 
 
-def with_references(feats: DataFrame, refs: DataFrame, literals: int = LITERAL_LANGUAGES) -> DataFrame | None:
-    """Adds ``chosen``: the reference of a row's language or none, all of them for a row without a language. None if there are no references."""
+def with_references(feats: DataFrame, refs: DataFrame) -> DataFrame | None:
+    """Adds ``chosen``: the reference of a row's language or none, all of them for a row without a language. None if there are no references.
+
+    Languages find their reference by a join of two written tables, which is sent out or split by
+    measured size. All references together are a literal: one or two KB for each language that
+    has one.
+    """
     refs = materialize(refs, "references")
-    some = [r.asDict(recursive=True) for r in refs.orderBy("lang").limit(literals + 1).collect()]
-    if not some:
+    every = [r["ref"].asDict() for r in refs.orderBy("lang").collect()]
+    if not every:
         return None
-    unknown = F.col("lang").isNull()
-    if len(some) <= literals:
-        every = F.array(*[literal(r["ref"]) for r in some])
-        own = F.filter(F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), literal(r["ref"]).alias("ref")) for r in some]), lambda r: r["lang"] == F.col("lang"))
-        return feats.withColumn("chosen", F.when(unknown, every).otherwise(F.transform(own, lambda r: r["ref"])))
-    known = feats.filter(~unknown).join(refs, "lang", "left").withColumn("chosen", F.when(F.col("ref").isNotNull(), F.array("ref")))
-    others = feats.filter(unknown).crossJoin(F.broadcast(refs.agg(F.collect_list("ref").alias("chosen"))))
-    return known.drop("ref").unionByName(others)
+    found = feats.join(refs, "lang", "left")
+    return found.withColumn("chosen", F.when(F.col("lang").isNull(), F.array(*map(literal, every))).when(F.col("ref").isNotNull(), F.array("ref"))).drop("ref")
 
 
 def verdicts(feats: DataFrame, refs: DataFrame) -> DataFrame:
@@ -190,9 +187,9 @@ def verdicts(feats: DataFrame, refs: DataFrame) -> DataFrame:
     return compared.drop("d", "chosen").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(off_class, F.lit(False)) & ~F.coalesce(off_words, F.lit(False)))
 
 
-def judge(docs: DataFrame, marked: bool = False) -> DataFrame:
-    """Every document with its statistics, distances and verdict."""
-    feats = materialize(features(docs, marked=marked), "quality")
+def judge(docs: DataFrame, rows: bool = False) -> DataFrame:
+    """Every document with its statistics, distances and verdict; ``rows``: and the whole row, so that a verdict needs no join to take effect."""
+    feats = materialize(features(docs, rows=rows), "quality")
     return verdicts(feats, references(feats))
 
 

@@ -95,11 +95,11 @@ counted AS (
 ), f AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, [n_lower, n_upper, n_digit, n_all - word_chars, n_point, n_bang, n_symbols, word_chars - n_lower - n_upper - n_digit - n_point - n_bang - n_symbols] AS classes FROM counted
 ), plain AS (SELECT * FROM f WHERE NOT base_failed AND lang IS NOT NULL AND n_symbols <= 0.02 * n_all AND n_upper <= 0.2 * (n_lower + n_upper)),
-total AS (SELECT lang, sum(n_words) AS words FROM plain GROUP BY 1 HAVING sum(n_words) >= 2000 ORDER BY words DESC, lang LIMIT 256),
+total AS (SELECT lang, sum(n_words) AS words FROM plain GROUP BY 1 HAVING sum(n_words) >= 2000),
 class_ref AS (SELECT lang, k, n / sum(n) OVER (PARTITION BY lang) AS q FROM (SELECT lang, k, CAST(sum(n) AS DOUBLE) AS n FROM (SELECT lang, unnest(classes) AS n, generate_subscripts(classes, 1) AS k FROM plain) WHERE lang IN (SELECT lang FROM total) GROUP BY ALL)),
 common AS (SELECT lang, word, n FROM (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(short) AS word FROM plain) GROUP BY ALL) WHERE lang IN (SELECT lang FROM total) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 24),
 word_ref AS (SELECT c.lang, c.word, c.n / t.words AS q FROM common c JOIN total t ON t.lang = c.lang),
-pairs AS (SELECT f.doc_id, f.n_words, f.n_all, f.classes, f.short, t.lang AS ref FROM f JOIN total t ON t.lang = f.lang OR f.lang IS NULL OR f.lang NOT IN (SELECT lang FROM total) WHERE NOT base_failed),
+pairs AS (SELECT f.doc_id, f.n_words, f.n_all, f.classes, f.short, t.lang AS ref FROM f JOIN total t ON t.lang = f.lang OR f.lang IS NULL WHERE NOT base_failed),
 class_d AS (
   SELECT doc_id, ref, sqrt(greatest(0, sum({JS}) / 2)) AS c FROM (SELECT x.doc_id, x.ref, x.n / CAST(x.n_all AS DOUBLE) AS p, r.q FROM (SELECT doc_id, ref, n_all, unnest(classes) AS n, generate_subscripts(classes, 1) AS k FROM pairs) x JOIN class_ref r ON r.lang = x.ref AND r.k = x.k) GROUP BY ALL
 ), bins AS (
