@@ -12,7 +12,10 @@ sent to the executors; a larger benchmark takes more passes.
 
 Defined results: null and empty texts match nothing; items of fewer than ``LEAST_WORDS`` words
 cannot be told from ordinary text and match nothing; a document has one row per item, the
-best-scoring passage, and repeated rows repeat it; empty tables give an empty result.
+best-scoring passage, of equal ones the first, and repeated rows repeat it; a null ``doc_id`` is
+reported as such and a null ``item_id`` matches nothing; very long texts are searched in whole, and
+aligned only around seeds; spans are code points of the text as it is; empty tables give an empty
+result; of either table only the id and the text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -27,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cliquespark.llm.shared import materialize, texts
+from cliquespark.llm.shared import ship_package, texts
 
 #: Items of fewer words match nothing.
 LEAST_WORDS = 4
-#: Words of benchmark items that are held at once; the executors get about 100 bytes for each.
-BLOCK_WORDS = 250_000
+#: Words of benchmark items that are held at once; the executors get some 30 bytes for each and 150 for each distinct one.
+BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Part of the best possible score of an item that a passage must reach.
 LEAST_SCORE = 0.6
@@ -41,7 +44,10 @@ MATCHES = "doc_id long, item_id long, score double, start long, end long"
 
 
 def word_list(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    """Lower-case words, one for each match of ``WORD`` in the text as it is."""
+    low = text.lower()
+    # a few letters become several when lowered, which would change where words end
+    return WORD.findall(low) if len(low) == len(text) else [w.lower() for w in WORD.findall(text)]
 
 
 def pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -194,13 +200,11 @@ def align(docs: DataFrame, sent, least: float) -> DataFrame:
         items = sent.value
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            for doc, text in ((d.as_py(), t.as_py()) for d, t in zip(batch["doc_id"], batch["text"], strict=True)):
                 if not text:
                     continue
                 if found := matches(encode(text, items.vocabulary), items, least):
-                    low = text.lower()
-                    spans = [m.span() for m in WORD.finditer(low)]
-                    # a few letters change their number when lowered; then the spans are those of the lowered text
+                    spans = [m.span() for m in WORD.finditer(text)]
                     rows += [(doc, items.ids[k], score, spans[a][0], spans[b - 1][1]) for k, score, a, b in found]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
@@ -220,9 +224,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCO
     return reduce(DataFrame.unionByName, parts)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of the documents that hold no benchmark passage; rows without a ``doc_id`` are told apart by a hash of their text."""
-    mark = F.coalesce(docs[id_col].cast("long"), F.xxhash64(docs[text_col].cast("string")))
-    marked = docs.select(mark.alias("doc_id"), docs[text_col].alias("text"))
-    found = materialize(contaminated(marked, benchmark, least).select(F.col("doc_id").alias("hit__")).distinct(), "contaminated")
-    return docs.join(found, mark == found["hit__"], "left_anti")
+def holds_passage(sent, least: float):
+    """A column function: whether a text holds a passage of the broadcast items."""
+
+    @F.arrow_udf("boolean")
+    def holds(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        items = sent.value
+        for part in parts:
+            yield pa.array([bool(t) and bool(matches(encode(t, items.vocabulary), items, least)) for t in (x.as_py() for x in part)], pa.bool_())
+
+    return holds
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, text_col: str = "text", block_words: int = BLOCK_WORDS, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark passage, each judged on its own text where it is: no join, no shuffle."""
+    ship_package(docs.sparkSession)
+    for rows in blocks(benchmark, item_col, item_text_col, block_words):
+        sent = docs.sparkSession.sparkContext.broadcast(Items.of(rows).index(least))
+        docs = docs.filter(~holds_passage(sent, least)(docs[text_col].cast("string")))
+    return docs
