@@ -1,19 +1,23 @@
 """Secret scans with structural confirmation.
 
-Patterns find assignments, access keys and long hex runs. Base64 and hex candidates are then
-decoded and parsed before they are reported as keys: nested ASN.1 lengths must add up exactly
-and the members must be those of a key encoding, OpenSSH fields must fill their container,
-and a signed token's header must be JSON that names an algorithm.
-
-Defined results: null and empty texts have no secrets; repeated rows are scanned like any
-other; an empty table gives an empty result; other columns are neither read nor returned.
+Patterns find assignments, access keys and long hex runs. Candidates in base64 (standard or URL-safe,
+on one line or wrapped, with real or escaped line feeds) and in hex of either case are then decoded
+and parsed before they are reported as keys: nested ASN.1 lengths must add up exactly and the
+members must be those of a key encoding, OpenSSH fields must fill their container, and a signed
+token's header must be JSON that names an algorithm. A key starts where its encoding's first bytes do
+and takes whole lines; what its lengths ask for must be there and nothing more on its last line.
+
+Defined results: null and empty texts have no secrets; matches of a kind are leftmost and do not
+overlap, those of different kinds may; very long texts are scanned in whole, in time that grows with
+their length; repeated rows, and rows with a null ``doc_id``, are scanned like any other; an empty table
+gives an empty result; other columns are neither read nor returned.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
-import hashlib
+import bisect
 import json
 import re
 from collections.abc import Iterator
@@ -28,9 +32,16 @@ ASSIGN_LEAST = 8
 #: Both runs are maximal, so a least length in the pattern finds the same as dropping short matches.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
+HEX_KEY = re.compile(r"[0-9A-Fa-f]{32,}")
+#: ``{`` and a quote or white space, in base64.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[wy][A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z ]*PRIVATE KEY)-----")
+ARMOURED = re.compile(r"[A-Za-z0-9+/=\s:,\\-]*")
+#: The first line of a bare key: an ASN.1 sequence or the OpenSSH mark in base64, after anything else or an escaped line feed.
+KEY64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n))(?:M[A-P]|b3Bl)[A-Za-z0-9+/_-]{14,}")
+NEXT_LINE = re.compile(r"(?:\r?\n|\\r\\n|\\n)[ \t]*([A-Za-z0-9+/_-]+)")
+#: Larger encodings are no keys.
+LARGEST_KEY = 65_536
 BASE = ("assign", "access", "hex")
 #: The method's own kinds come after the base ones: signed token, armoured key, bare key in base64, bare key in hex.
 KINDS = (*BASE, "jwt", "pem", "key64", "keyhex")
@@ -86,28 +97,42 @@ def is_asn1_key(data: bytes) -> bool:
 OPENSSH = b"openssh-key-v1\0"
 
 
-def is_openssh_key(data: bytes) -> bool:
+def openssh_end(data: bytes) -> int | None:
+    """Where the OpenSSH key at the start of ``data`` ends."""
     if not data.startswith(OPENSSH):
-        return False
+        return None
     at = len(OPENSSH)
 
-    def take() -> bytes | None:
+    def take() -> bool:
         nonlocal at
         size = int.from_bytes(data[at : at + 4], "big")
         if at + 4 + size > len(data):
-            return None
+            return False
         at += 4 + size
-        return data[at - size : at]
+        return True
 
-    if any(take() is None for _ in range(3)) or at + 4 > len(data):
-        return False
+    if not all(take() for _ in range(3)) or at + 4 > len(data):
+        return None
     count = int.from_bytes(data[at : at + 4], "big")
     at += 4
-    return 1 <= count <= 16 and all(take() is not None for _ in range(count + 1)) and at == len(data)
+    return at if 1 <= count <= 16 and all(take() for _ in range(count + 1)) else None
+
+
+def asn1_end(data: bytes) -> int | None:
+    """Where the ASN.1 sequence at the start of ``data`` says that it ends, from its first bytes alone."""
+    if len(data) < 6 or data[0] != SEQUENCE:
+        return None
+    size, body = data[1], 2
+    if size >= 0x80:
+        k = size & 0x7F
+        if not 1 <= k <= 3:
+            return None
+        size, body = int.from_bytes(data[2 : 2 + k], "big"), 2 + k
+    return body + size if data[body] in (INTEGER, SEQUENCE) else None
 
 
 def is_key(data: bytes) -> bool:
-    return is_asn1_key(data) or is_openssh_key(data)
+    return is_asn1_key(data) or openssh_end(data) == len(data)
 
 
 def decode64(text: str) -> bytes | None:
@@ -136,21 +161,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def key64_end(text: str, first: re.Match) -> int | None:
+    """Where the bare key that may start with this line ends."""
+    line, at = first[0], first.end()
+    head = decode64(line[:16]) or b""
+    end = asn1_end(head)
+    if end is None and not head.startswith(OPENSSH[: len(head)]):
+        return None
+    wanted = LARGEST_KEY if end is None else -(-end * 4 // 3)
+    if wanted > LARGEST_KEY:
+        return None
+    lines, have, ends = [line], len(line), {len(line): at}
+    while have < wanted and (more := NEXT_LINE.match(text, at)):
+        lines.append(more[1])
+        have, at = have + len(more[1]), more.end()
+        ends[have] = at
+    if end is None:
+        end = openssh_end(decode64("".join(lines)[: LARGEST_KEY - LARGEST_KEY % 4 if have % 4 == 1 else have]) or b"")
+        if end is None:
+            return None
+        wanted = -(-end * 4 // 3)
+    if wanted not in ends or not is_key(decode64("".join(lines)[:wanted]) or b""):
+        return None
+    at = ends[wanted]
+    return at + len(re.match("={0,2}", text[at : at + 2])[0])
+
+
+def armoured_spans(text: str) -> list[tuple[int, int]]:
+    """Keys between a mark and the next one, if that ends the same kind."""
+    found, begin = [], None
+    for m in ARMOUR.finditer(text):
+        if m[1] == "BEGIN":
+            begin = m
+        elif begin is not None and begin[2] == m[2] and (inner := ARMOURED.fullmatch(text, begin.end(), m.start())):
+            plain = inner[0].replace("\\r", "").replace("\\n", "\n")
+            data = decode64(re.sub(r"(?m)^[A-Za-z-]+: .*$", "", plain))  # without the headers of encrypted keys
+            if data and (is_key(data) or "Proc-Type" in plain and len(data) >= 32 and len(data) % 8 == 0):
+                found.append((begin.start(), m.end()))
+            begin = None
+    return found
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Candidates that decode and parse."""
-    found = [(m.start(), 3, m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])] if "eyJ" in text else []
-    armoured = []
-    if "-----BEGIN" in text:
-        for m in ARMOUR.finditer(text):
-            body = re.sub(r"(?m)^[A-Za-z-]+: .*$", "", m[2])  # headers of encrypted keys
-            data = decode64(body)
-            if data and (is_key(data) or "Proc-Type" in m[2] and len(data) >= 32 and len(data) % 8 == 0):
-                armoured.append(m.span())
-                found.append((m.start(), 4, m.end()))
-    for m in BASE64.finditer(text):
-        if not any(a <= m.start() < b for a, b in armoured) and (data := decode64(m[0])) and is_key(data):
-            found.append((m.start(), 5, m.end()))
-    for m in HEX.finditer(text):
+    found = [(m.start(), 3, m.end()) for m in TOKEN.finditer(text) if is_signed_token(m[0])]
+    armoured = armoured_spans(text) if "-----BEGIN" in text else []
+    found += [(start, 4, end) for start, end in armoured]
+    starts, last = [start for start, _ in armoured], 0
+    for m in KEY64.finditer(text):
+        k = bisect.bisect_right(starts, m.start()) - 1
+        if m.start() >= last and (k < 0 or armoured[k][1] <= m.start()) and (end := key64_end(text, m)):
+            found.append((m.start(), 5, end))
+            last = end
+    for m in HEX_KEY.finditer(text):
         if (m.end() - m.start()) % 2 == 0 and is_key(bytes.fromhex(m[0])):
             found.append((m.start(), 6, m.end()))
     return found
@@ -166,7 +229,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
-            for text in batch["text"].to_pylist():
+            for text in (t.as_py() for t in batch["text"]):
                 base = base_spans(text or "")
                 kinds = [k for _, k, _ in base]
                 values = (*(kinds.count(k) for k in range(3)), spell(base), spell(sorted(base + confirmed_spans(text or ""))))
@@ -188,6 +251,3 @@ def redact(text: str, mark: str = "[secret]") -> str:
             at = end
     return "".join([*out, text[at:]])
 
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
