@@ -7,7 +7,9 @@ format, which has each frame's compressed size, decompressed size and a checksum
 of XXH64). A reader needs the end of the file and the frames of the documents it wants.
 
 Defined results: null and empty texts are documents of the end id alone; null ids come first;
-repeated ids are written one after another; an empty table gives no file and no rows.
+repeated ids are written one after another in the order of a hash of their texts; a very long text is one
+document in a frame of its own size; an empty table gives no file and no rows; other columns are neither
+read nor returned.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from cliquespark.llm import tokens
 from cliquespark.llm.shared import materialize, shared_path, texts
 
 FRAME_TOKENS = 65_536
+#: Text bytes and documents of a file at most, as far as ranges are even.
+FILE_BYTES, FILE_DOCS = 256 << 20, 1 << 20
 END_ID = 1
 # Fixed values of the public seekable format.
 SKIPPABLE_INDEX = 0x184D2A50
@@ -175,10 +179,17 @@ class TokenFile:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None = None, end_id: int = END_ID, n_files: int | None = None) -> DataFrame:
-    """Write ``docs`` in ascending order of ``doc_id``, one file per range of ids; returns the manifest with ``base``, the ids in all earlier files."""
+    """Write ``docs`` in ascending order of ``doc_id``, one file per range; returns the manifest.
+
+    Without ``n_files`` there are as many as keep a file's share of texts and documents below ``FILE_BYTES``
+    and ``FILE_DOCS``, and no fewer than shuffle partitions. Ranges go by id and text, so that rows
+    without an id, or of one id, can be in several files.
+    """
     path, end = tokenizer_path or tokens.word_bpe_path(), tokens.pack_ids([end_id])
     spark = docs.sparkSession
-    n_files = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n_files is None:
+        size = texts(docs).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+        n_files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["bytes"] // FILE_BYTES), -(-size["n"] // FILE_DOCS))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -189,8 +200,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
         final = f"{folder}/tokens-{shard:06d}.zst"
         temporary = f"{folder}/.tokens-{shard:06d}-{context.taskAttemptId()}"
         for batch in batches:
-            rows = list(zip(batch["doc_id"].to_pylist(), (t or "" for t in batch["text"].to_pylist()), strict=True))
-            for block in tokens.in_blocks(rows):
+            for block in tokens.in_blocks(batch):
                 if out is None:
                     make_folder(folder)
                     stream = open_any(temporary, "wb")
@@ -203,7 +213,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
             publish(temporary, final)
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [final], "n_docs": [len(out.docs)], "n_tokens": [sum(out.counts)], "n_frames": [len(out.seek)]})
 
-    ordered = texts(docs).repartitionByRange(n_files, "doc_id").sortWithinPartitions("doc_id", "text")
+    keyed = texts(docs).withColumn("h", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange(n_files, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     return materialize(ordered.mapInArrow(write, MANIFEST), "token-files")
 
 
