@@ -11,8 +11,9 @@ The bounded training sample: the ``POSITIVES`` rows labelled 1 and the ``UNLABEL
 kind with the smallest hashes of their id, held-out rows excepted. Features are those of the
 whole text: shares of character classes, of repeats and of hashed byte pairs.
 
-Defined results: null and empty texts get the score of a text without features; without positives
-or unlabelled rows every score is 0.5; a null ``doc_id`` is scored and never learned from;
+Defined results: null and empty texts get the score of a text without features; very long texts are read
+in whole; of ids with equal hashes the sample takes the smaller one, and of rows with one id that of the smallest
+features, so that the order of rows does not matter; without positives or unlabelled rows every score is 0.5; a null ``doc_id`` is scored and never learned from;
 repeated rows are scored like any other; an empty table gives an empty result; other columns are
 not read.
 """
@@ -96,8 +97,8 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.margins(x), -30, 30)))
 
 
-def _fit(p: np.ndarray, u: np.ndarray, risk_gradient, seed: int, epochs: int) -> Network:
-    """Adam on mini-batches; ``risk_gradient`` gives the risk's derivative for the margins of positives and unlabelled."""
+def _fit(p: np.ndarray, u: np.ndarray, gradient, seed: int, epochs: int) -> Network:
+    """Adam on mini-batches; ``gradient`` gives the risk's derivative for the margins of positives and unlabelled."""
     rng = np.random.default_rng(seed)
     both = np.concatenate([p, u])
     mean, scale = both.mean(0), both.std(0) + 1e-2
@@ -114,7 +115,7 @@ def _fit(p: np.ndarray, u: np.ndarray, risk_gradient, seed: int, epochs: int) ->
             x = np.concatenate([p[ps], u[us]])
             h = np.tanh(x @ w[0] + w[1])
             z = h @ w[2] + w[3][0]
-            g = np.concatenate(risk_gradient(z[: len(ps)], z[len(ps) :]))
+            g = np.concatenate(gradient(z[: len(ps)], z[len(ps) :]))
             back = np.outer(g, w[2]) * (1 - h * h)
             grads = [x.T @ back + DECAY * w[0], back.sum(0), h.T @ g + DECAY * w[2], np.array([g.sum()])]
             t += 1
@@ -145,20 +146,25 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, seed: int = 3) -> float:
     return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
 
 
+def risk(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The positive and the negative part of the unbiased risk for margins of positives and unlabelled rows, with the logistic loss."""
+    return prior * np.logaddexp(0, -zp).mean(), np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+
+
+def risk_gradient(zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The derivative to go down by: that of both parts, or, where the negative part is below zero, of its opposite alone."""
+    on_u, on_p = _sigmoid(zu) / len(zu), -prior * _sigmoid(zp) / len(zp)
+    if risk(zp, zu, prior)[1] < 0:
+        return -on_p, -on_u
+    return -prior * (1 - _sigmoid(zp)) / len(zp) + on_p, on_u
+
+
 def train(p: np.ndarray, u: np.ndarray, prior: float | None = None, seed: int = 11) -> Network:
     """Non-negative unbiased risk with the logistic loss."""
     rng = np.random.default_rng(seed)
     p, u = p[rng.permutation(len(p))], u[rng.permutation(len(u))]
     pi = estimate_prior(p, u) if prior is None else prior
-
-    def gradient(zp: np.ndarray, zu: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        negative = np.logaddexp(0, zu).mean() - pi * np.logaddexp(0, zp).mean()
-        on_u, on_p = _sigmoid(zu) / len(zu), -pi * _sigmoid(zp) / len(zp)
-        if negative < 0:  # step back out of the negative part alone
-            return -on_p, -on_u
-        return -pi * (1 - _sigmoid(zp)) / len(zp) + on_p, on_u
-
-    return _fit(p, u, gradient, seed, EPOCHS)
+    return _fit(p, u, lambda zp, zu: risk_gradient(zp, zu, pi), seed, EPOCHS)
 
 
 def _features(rows: DataFrame) -> DataFrame:
@@ -178,10 +184,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, positives: int, unlabelled
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     h = F.xxhash64("doc_id")
     # two limits bound what is broadcast
-    chosen_p = marked.select("doc_id", h.alias("h")).distinct().orderBy("h").limit(positives).withColumn("part", F.lit(1))
-    chosen_u = rows.select("doc_id", F.xxhash64(F.lit(5), "doc_id").alias("h")).distinct().orderBy("h").limit(unlabelled).withColumn("part", F.lit(0))
+    chosen_p = marked.select("doc_id", h.alias("h")).distinct().orderBy("h", "doc_id").limit(positives).withColumn("part", F.lit(1))
+    chosen_u = rows.select("doc_id", F.xxhash64(F.lit(5), "doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(unlabelled).withColumn("part", F.lit(0))
     ids = chosen_p.unionByName(chosen_u)
-    made = _features(rows.join(F.broadcast(ids), "doc_id")).collect()
+    # of rows that share an id one counts, so that what is collected is bounded too
+    made = _features(rows.join(F.broadcast(ids), "doc_id")).groupBy("part", "h").agg(F.min("x").alias("x")).collect()
     out = []
     for part in (1, 0):
         own = sorted((r["h"], bytes(r["x"])) for r in made if r["part"] == part)
