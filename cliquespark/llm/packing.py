@@ -8,8 +8,9 @@ the counts allow. Executors then give each piece its rank among those of its len
 look the rank up in the plan.
 
 Defined results: a null or empty text is one piece that holds only the end id; rows with a
-null or repeated ``doc_id`` are packed like any other; an empty table gives an empty result;
-other columns are neither read nor returned.
+null or repeated ``doc_id`` are packed like any other; which of several pieces of one length takes
+which place is settled by their order in the written table; very long texts are encoded in whole and cut
+into pieces; an empty table gives an empty result; other columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -56,8 +57,7 @@ def tokenized_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens.encoder(path)
         for batch in batches:
-            rows = list(zip(batch["doc_id"].to_pylist(), (t or "" for t in batch["text"].to_pylist()), strict=True))
-            for block in tokens.in_blocks(rows):
+            for block in tokens.in_blocks(batch):
                 out: tuple[list, ...] = ([], [], [], [], [])
                 for (doc, _), packed in zip(block, coder.encode([t for _, t in block]), strict=True):
                     packed += end
@@ -134,29 +134,28 @@ def plan_table(bins: list[tuple[dict[int, int], int]]) -> np.ndarray:
 def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
-    Needs ``doc_id``, ``piece`` and ``length``; further columns pass through, so a narrow
+    Needs ``length``; further columns pass through, so a narrow
     table costs a narrow shuffle. A length that holds a third of all pieces is ranked in many
     hash buckets whose counts are summed first.
     """
-    spark = pieces.sparkSession
-    pieces = materialize(pieces, "pieces")
+    spark, kept = pieces.sparkSession, pieces.columns
+    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    # rows are told apart by a number of their own, since ids may be missing or repeated
+    pieces = materialize(pieces.withColumn("row__", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = spark.sparkContext.broadcast(plan_table(minimum_bin_slack(histogram, capacity)))
     buckets = max(LEAST_BUCKETS, -(-sum(histogram.values()) // PIECES_PER_BUCKET))
 
-    dealt = pieces.withColumn("bucket__", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    dealt = pieces.withColumn("bucket__", F.pmod(F.xxhash64("row__"), F.lit(buckets)))
     before = (
         dealt.groupBy("length", "bucket__")
         .agg(F.count("*").alias("n__"))
         .withColumn("base__", F.sum("n__").over(Window.partitionBy("length").orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)))
         .select("length", "bucket__", F.coalesce("base__", F.lit(0)).alias("base__"))
     )
-    ranked = dealt.withColumn("rank__", F.row_number().over(Window.partitionBy("length", "bucket__").orderBy("doc_id", "piece")) - 1)
+    ranked = dealt.withColumn("rank__", F.row_number().over(Window.partitionBy("length", "bucket__").orderBy("row__")) - 1)
     ranked = ranked.join(before, ["length", "bucket__"]).withColumn("rank__", F.col("rank__") + F.col("base__"))
 
-    kept = pieces.columns
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = plan.value
         # rank < 2**51 and length < 2**12, so both fit one sortable integer
