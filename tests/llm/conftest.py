@@ -46,7 +46,7 @@ ODD = [
 @pytest.fixture(scope="session")
 def odd(spark):
     """Nulls, empty and very long texts, ties and repeated rows, with extra columns whose names clash with results."""
-    extra = {c: F.lit("x") for c in ("ids", "piece", "length", "sequence_id", "offset", "rank__", "kept", "n", "sketch", "id", "pivot", "words", "drop", "h1", "score", "predicted", "held_out", "spans", "start", "end", "row", "doc", "pos", "w", "t", "l", "gone__", "hit__", "class_id")}
+    extra = {c: F.lit("x") for c in ("ids", "piece", "length", "sequence_id", "offset", "rank__", "kept", "n", "sketch", "id", "pivot", "words", "drop", "h1", "score", "predicted", "held_out", "spans", "start", "end", "row", "doc", "pos", "w", "t", "l", "gone__", "hit__", "class_id", "n_lines__", "n_dropped__", "row__", "key", "r", "shard", "block", "lines", "refs", "kept__", "m1", "ref", "chosen")}
     return frame(spark, ODD).withColumns(extra)
 
 

@@ -29,10 +29,13 @@ def test_against_brute_force(spark, odd):
     assert sorted(map(tuple, L.line_digests(odd).collect()), key=str) == brute(ODD)
 
 
-def test_filters_dealt_by_shard_give_the_same(spark, odd):
-    dealt = L.dedup_lines(odd.select("doc_id", "text"), broadcast_bytes=-1)
-    sent = L.dedup_lines(odd.select("doc_id", "text"))
-    assert sorted(map(tuple, dealt.collect()), key=str) == sorted(map(tuple, sent.collect()), key=str)
+def test_hundreds_of_shards_and_blocks_give_the_same(spark, odd, monkeypatch):
+    monkeypatch.setattr(L, "LEAST_BLOCK", 4)
+    rows = [(k, "\n".join(f"a line that is numbered {(k * 7 + j) % 300}" for j in range(5)) + "\none line that is everywhere") for k in range(200)]
+    found = L.dedup_lines(frame(spark, rows).select("doc_id", "text"), counts=True, keys_per_shard=1)
+    shared = L.shared_keys(L.reference_table(frame(spark, rows))).count()
+    assert shared > 200
+    assert sorted((r["doc_id"], r["n_lines"], r["n_dropped"], hashlib.sha256(r["text"].encode()).hexdigest()) for r in found.collect()) == sorted(brute(rows))
 
 
 def test_empty_table(empty):
@@ -40,19 +43,22 @@ def test_empty_table(empty):
 
 
 def test_other_columns_stay(spark, odd):
-    assert L.dedup_lines(odd).columns == [*odd.columns, "n_lines__", "n_dropped__"]
+    found = L.dedup_lines(odd)
+    assert found.columns == odd.columns and found.filter("n_lines__ = 'x' AND row__ = 'x'").count() == len(ODD)
 
 
 def test_deletion_undoes_insertion(spark):
-    first = [(1, "line number one here\nshared line of text"), (2, "shared line of text\nonly in the second")]
-    second = [(3, "line number one here\nshared line of text"), (0, "only in the second\nquite new line")]
-    table = L.reference_table(frame(spark, first))
-    grown = L.insert_documents(table, frame(spark, second))
-    whole = L.reference_table(frame(spark, first + second))
-    rows = lambda df: sorted(map(tuple, df.select("h1", "h2", "refs", "first_doc", "last_doc").collect()))
-    assert rows(grown) == rows(whole)
-    back = L.delete_documents(grown, frame(spark, second), frame(spark, first))
-    assert rows(back) == rows(table)
+    first = [(1, "line number one here\nshared line of text"), (2, "shared line of text\nonly in the second"), (2, "shared line of text")]
+    second = [(3, "line number one here\nshared line of text"), (0, "only in the second\nquite new line"), (3, "line number one here")]
+    rows = lambda df, *c: sorted(map(tuple, df.select("h1", "h2", *c).collect()))
+    one = ("refs", "first_doc", "last_doc")
+    counts = L.line_counts(frame(spark, first))
+    assert rows(L.key_table(counts), *one) == rows(L.reference_table(frame(spark, first)), *one)
+    grown = L.insert_documents(counts, frame(spark, second))
+    assert rows(L.key_table(grown), *one) == rows(L.reference_table(frame(spark, first + second)), *one)
+    back = L.delete_documents(grown, frame(spark, second))
+    assert rows(back, "doc", "refs") == rows(counts, "doc", "refs")
+    assert rows(L.key_table(L.delete_documents(grown, frame(spark, first))), *one) == rows(L.reference_table(frame(spark, second)), *one)
 
 
 def test_filters_follow_the_table(spark):
@@ -79,6 +85,9 @@ def test_cuckoo_filter_never_misses(keys):
     half = keys[: len(keys) // 2]
     made.delete(half)
     assert made.contains(keys[len(half) :]).all()
+    assert np.count_nonzero(made.table) == len(keys) - len(half)
+    made.delete(keys[len(half) :])
+    assert not made.table.any()
 
 
 def test_cuckoo_filter_is_selective():

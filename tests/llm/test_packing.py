@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cliquespark.llm import packing, tokens
-from tests.llm.conftest import ODD
+from tests.llm.conftest import ODD, frame, prose
 
 
 @settings(max_examples=60, deadline=None)
@@ -62,6 +62,46 @@ def test_pieces_round_trip_and_sequences_have_no_gaps(spark, odd):
     assert eleven in expected
 
 
+def test_sequences_are_those_of_a_direct_packing(spark):
+    """The query's sequences hold the lengths that the planned bins do, and few small ones need more than the least number."""
+    rows = [(k, prose(k, 3 + k % 45)) for k in range(120)]
+    got = packing.packed_digests(frame(spark, rows), capacity=64).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r["sequence_id"], []).append(r["length"])
+    tokenizer = tokens.load_tokenizer(tokens.byte_bpe_path())
+    lengths = [n for _, t in rows for _, n in packing.cut(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1, 64)]
+    histogram = {n: lengths.count(n) for n in lengths}
+    planned = [sorted(x for x, m in chosen.items() for _ in range(m)) for chosen, times in packing.minimum_bin_slack(histogram, 64) for _ in range(times)]
+    assert sorted(map(sorted, held.values())) == sorted(planned)
+
+    def least(items, room=20):
+        best = len(items)
+
+        def place(at, bins):
+            nonlocal best
+            if len(bins) >= best:
+                return
+            if at == len(items):
+                best = len(bins)
+                return
+            for k, free in enumerate(bins):
+                if free >= items[at] and free not in bins[:k]:
+                    place(at + 1, [*bins[:k], free - items[at], *bins[k + 1 :]])
+            place(at + 1, [*bins, room - items[at]])
+
+        place(0, [])
+        return best
+
+    rng, more = np.random.default_rng(0), 0
+    for _ in range(60):
+        items = sorted(rng.integers(1, 16, 9).tolist(), reverse=True)
+        used = sum(times for _, times in packing.minimum_bin_slack({x: items.count(x) for x in items}, 20))
+        assert used <= least(items) + 1
+        more += used > least(items)
+    assert more < 6
+
+
 def test_digests_are_those_of_the_ids(spark, odd):
     full = {(r["doc_id"], r["piece"], r["start"]): zlib.crc32(bytes(r["ids"])) for r in packing.tokenized_pieces(odd).collect()}
     digests = packing.packed_digests(odd).collect()
@@ -85,7 +125,16 @@ def test_encoder_equals_the_tokenizer():
 
 def test_memo_forgets(monkeypatch):
     monkeypatch.setattr(tokens, "MEMO_PIECES", 20)
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 10)
     made, plain = tokens.PieceEncoder(tokens.byte_bpe_path()), tokens.load_tokenizer(tokens.byte_bpe_path())
     texts = [f"word{k} other{k} same" for k in range(200)]
     assert made.encode(texts) == [tokens.pack_ids(plain.encode(t, add_special_tokens=False).ids) for t in texts]
-    assert len(made.memo) <= 24
+    assert made.encode(texts) == [tokens.pack_ids(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert len(made.memo) <= 24 and len(made.memo.older) <= 24 and len(made.words) <= 10
+
+
+def test_one_length_and_repeated_rows(spark):
+    """A length that all pieces have, ids missing or repeated: each row has a place of its own."""
+    rows = frame(spark, [(None, "same text")] * 40 + [(1, "same text")] * 40)
+    got = packing.packed_digests(rows, capacity=9).collect()
+    assert len(got) == 80 and len({(r["sequence_id"], r["offset"]) for r in got}) == 80

@@ -1,7 +1,9 @@
 """Decontamination and near-duplicates."""
 
 import itertools
+import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -58,6 +60,37 @@ def test_every_copy_that_reaches_the_limit_is_found(spark):
     assert got == expected and len(expected) > 150
 
 
+def test_recall_on_the_labelled_tables(spark):
+    """All documents against all items of the test tables, without seeds."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.exists(folder):
+        pytest.skip("no test tables")
+    docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    made = D.Items.of([(r["item_id"], r["text"]) for r in items.collect()])
+    expected = set()
+    for r in docs.select("doc_id", "text").collect():
+        ids = D.encode(r["text"] or "", made.vocabulary)
+        for k, item in zip(made.ids, made.words, strict=True):
+            # a quick bound: words that the text shares with the item
+            if len(ids) and np.isin(item, ids).sum() >= 0.6 * len(item) and D.smith_waterman(item, ids)[0] >= 0.6 * D.MATCH * len(item):
+                expected.add((r["doc_id"], k))
+    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, items).collect()}
+    assert got == expected and len(expected) > 10
+
+
+def test_near_copies_on_the_labelled_tables(spark):
+    """Recall of merged documents against all pairs of the test table: at least 0.95."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.exists(folder):
+        pytest.skip("no test tables")
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").limit(600).collect()]
+    expected = brute_classes(rows)
+    got = {r["doc_id"]: r["class_id"] for r in N.classes(frame(spark, rows)).collect()}
+    merged = [d for d in expected if expected[d] != d]
+    assert len(merged) > 20 and sum(got[d] != d for d in merged) >= 0.95 * len(merged)
+    assert all(expected[d] == expected[c] for d, c in got.items())
+
+
 def test_blocks_give_the_same(spark, benchmark):
     docs = frame(spark, [(k, prose(k, 60) + " " + prose(5_000 + k % 20, 40)) for k in range(30)])
     whole, parts = D.contaminated(docs, benchmark), D.contaminated(docs, benchmark, block_words=100)
@@ -80,7 +113,20 @@ def test_decontamination_of_odd_rows(spark, odd, empty, benchmark):
     assert D.contaminated(odd, benchmark).collect() == []
     assert D.contaminated(empty, benchmark).collect() == []
     assert D.contaminated(odd, benchmark.limit(0)).collect() == []
-    assert D.clean(odd, benchmark).count() == len(ODD)
+    assert D.clean(odd, benchmark).columns == odd.columns and D.clean(odd, benchmark).count() == len(ODD)
+
+
+def test_spans_are_those_of_the_text_as_it_is(spark, benchmark):
+    """Letters that become two when lowered stand before and in the passage."""
+    item = prose(5_003, 40).replace("i", "İ")
+    text = "İİİ İ " + prose(1, 30) + " " + item + " " + prose(2, 30)
+    [r] = D.contaminated(frame(spark, [(1, text)]), spark.createDataFrame([(3, item)], "item_id long, text string")).collect()
+    assert r["score"] == 1 and text[r["start"] : r["end"]] == item
+
+
+def test_clean_in_blocks(spark, benchmark):
+    docs = frame(spark, [(k, prose(k, 60) + (" " + prose(5_000 + k % 20, 40) if k % 2 else "")) for k in range(30)])
+    assert sorted(r["doc_id"] for r in D.clean(docs, benchmark, block_words=100).collect()) == list(range(0, 30, 2))
 
 
 def distance(a, b):
@@ -99,7 +145,29 @@ def test_banded_distance_against_brute_force():
         a = [r.randint(0, 4) for _ in range(r.randint(0, 14))]
         b = [x for x in a if r.random() > 0.15] + [r.randint(0, 4) for _ in range(r.randint(0, 3))]
         band, full = r.randint(0, 8), distance(a, b)
-        assert N.banded_distance(a, b, band) == (full if full <= band else None)
+        expected = full if full <= band else None
+        x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+        assert N.banded_distance(x, y, band) == expected
+        if a and b and a[0] != b[0]:
+            assert N.short_distance(a, b, band) == N.long_distance(x, y, band) == (expected if full else None)
+
+
+def test_distance_of_long_texts():
+    """Hundreds of thousands of words, as bags of words equal."""
+    r = np.random.default_rng(1)
+    a = r.integers(0, 5_000, 200_000).astype(np.uint32)
+    b = a.copy()
+    b[r.choice(len(a), 300, replace=False)] += 1
+    began = time.process_time()
+    assert N.alike(a, b) and N.alike(a, np.delete(b, np.arange(100, 20_000)))
+    assert N.banded_distance(a, b, 300) == 300
+    assert len(N.order_sketches(r.integers(0, 1 << 62, 2_000_000).astype(np.uint64))) == N.SKETCHES
+    small = r.integers(0, 900, 300).astype(np.uint64)
+    whole, N.TOGETHER = N.order_sketches(small), 1
+    assert N.order_sketches(small) == whole
+    N.TOGETHER = 1 << 21
+    mixed = r.permutation(a[:20_000])
+    assert not N.alike(a[:20_000], mixed) and time.process_time() - began < 60
 
 
 def brute_classes(rows):
