@@ -2,6 +2,13 @@
 
 Each stage gets all that its predecessor kept and its decisions take effect. All but the last
 return the columns of ``documents``. Counted as part of the ``llm`` subpackage.
+
+Defined results, for every stage: each row is judged on its own text, whether its ``doc_id`` is null,
+repeated or neither, so that no decision on one row takes another with it; only line dedup
+counts rows of one id as one document, as its contract does. Null texts count as empty; the quality
+rules reject them. Ties go by the operators' own rules, among them the smallest ``doc_id`` for lines
+and near copies. Very long texts are worked on in whole. Empty tables give empty tables. Other columns
+pass through whatever their names, up to the last stage, whose rows are pieces.
 """
 
 from __future__ import annotations
@@ -14,23 +21,20 @@ from cliquespark.llm.shared import documents, materialize
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go, rows that repeat a ``doc_id`` as one, rows without one each by itself."""
-    rejected = materialize(quality.judge(docs, marked=True).filter(~F.col("kept")).select(F.col("doc_id").alias("gone__"), *[F.when(F.col("doc_id").isNull(), F.col(m)).alias(m) for m in ("m1", "m2")]).distinct(), "rejected")
-    doc_id = docs["doc_id"].cast("long")
-    m1, m2 = (F.when(doc_id.isNull(), m) for m in quality.marks(docs["text"], docs["lang"]))
-    return docs.join(rejected, doc_id.eqNullSafe(rejected["gone__"]) & m1.eqNullSafe(rejected["m1"]) & m2.eqNullSafe(rejected["m2"]), "left_anti")
+    """Documents that the quality rules reject go."""
+    return quality.judge(docs, rows=True).filter("kept").select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; documents of which nothing but white space is left go with them."""
-    rest = linededup.dedup_lines(docs).drop("n_lines__", "n_dropped__")
+    rest = linededup.dedup_lines(docs)
     if "n_chars" in rest.columns:
         rest = rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rest.filter(F.btrim("text", F.lit(linededup.SPACE)) != "")
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays, the one of the smallest id."""
     return neardup.representatives(docs)
 
 
