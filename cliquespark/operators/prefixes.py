@@ -30,3 +30,13 @@ def curie_prefixes(index: Index, requested: DataFrame | None = None) -> DataFram
 def status(index: Index) -> DataFrame:
     """Rows of each table."""
     return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, df in index.tables().items()])
+
+
+def stored_sizes(index: Index) -> DataFrame:
+    """Files and bytes of each table of an index that was read from files."""
+
+    def size(name: str, df: DataFrame) -> DataFrame:
+        files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).distinct()
+        return files.agg(F.count("*").alias("n_files"), F.coalesce(F.sum("s"), F.lit(0)).alias("bytes")).select(F.lit(name).alias("table_name"), "n_files", "bytes")
+
+    return reduce(DataFrame.unionByName, [size(n, df) for n, df in index.tables().items()])

@@ -110,9 +110,10 @@ def scan_normalized(spark: SparkSession, path: str, lines: bool = False) -> Data
 
 
 def scan_curies(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Column ``input_curie`` of a CSV file, trimmed, blanks skipped; ``limit`` counts rows read."""
+    """Column ``input_curie`` of a CSV file, trimmed, blanks skipped; ``limit`` counts the first rows of the file, blanks included."""
     rows = spark.read.csv(path, header=True)
-    rows = rows.limit(limit) if limit is not None else rows
+    if limit is not None:
+        rows = rows.select("input_curie", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("n")).orderBy("f", "b", "n").limit(limit)
     return rows.select(F.trim("input_curie").alias("curie")).filter("curie <> ''")
 
 

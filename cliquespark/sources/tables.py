@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+ROWS_PER_FILE = 250_000
 #: Tables that each application has written; frames that read them stay usable until :func:`release`.
 _WRITTEN: dict[str, list[str]] = {}
 
@@ -35,12 +36,15 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage at a table that survives the loss of any executor and
-    keeps an expensive plan from running twice.
+    keeps an expensive plan from running twice. Where about how many ``rows`` there are is known, the
+    table has no more files than so many rows need, however many partitions the shuffle before it has.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     path = shared_path(df.sparkSession, label)
     _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.option("compression", "zstd").parquet(path)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cliquespark.functions import exprs
-from cliquespark.operators import eqgraph, graph, kgx, mappers, merge, quality
+from cliquespark.operators import eqgraph, graph, kgx, mappers, merge, prefixes, quality
 from cliquespark.operators.normalize import normalize
 from cliquespark.sources import scan, settings, sinks, tables
 from cliquespark.streaming.lookups import answer_table, normalize_stream
@@ -175,12 +175,16 @@ def test_source_files(spark, tmp_path):
     assert [tuple(r) for r in scan.scan_primekg_sources(spark, str(tmp_path / "p.csv")).collect()] == [("1", "drug", "a, b", "DrugBank")]
     (tmp_path / "c.csv").write_text("input_curie\n A:1 \n\nB:2\n")
     assert [r[0] for r in scan.scan_curies(spark, str(tmp_path / "c.csv")).collect()] == ["A:1", "B:2"]
+    assert [r[0] for r in scan.scan_curies(spark, str(tmp_path / "c.csv"), 1).collect()] == ["A:1"]
     (tmp_path / "n.json").write_text(json.dumps({"A:1": {"id": {"identifier": "A:1"}, "equivalent_identifiers": [{"identifier": "A:1"}], "type": ["t"]}}, indent=1))
     assert scan.scan_normalized(spark, str(tmp_path / "n.json")).first()["id"]["identifier"] == "A:1"
 
 
 def test_index_round_trip(spark, index, tmp_path):
     back = sinks.write_index(index, str(tmp_path / "index"), 2)
+    sizes = {r["table_name"]: (r["n_files"], r["bytes"]) for r in prefixes.stored_sizes(back).collect()}
+    files = list((tmp_path / "index" / "curie_map").glob("*.parquet"))
+    assert sizes["curie_map"] == (len(files), sum(f.stat().st_size for f in files)) and len(sizes) == 5
     assert sorted(back.curie_map.collect()) == sorted(index.curie_map.collect())
     assert sorted(back.conflation.select("name", "member", "members").collect()) == sorted(index.conflation.collect())
     assert sinks.write_index(index, str(tmp_path / "none"), dry_run=True) is index and not (tmp_path / "none").exists()
