@@ -101,6 +101,35 @@ def test_results(spark, index, message):
     assert set(graph.normalize_message(graph.Message(), index)) == set()
 
 
+NODE_BINDINGS = f"msg_id string, result_pos int, code_pos int, code string, bind_pos int, id string, attributes {ATTRS}, rest string"
+EDGE_BINDINGS = "msg_id string, result_pos int, analysis_pos int, code_pos int, code string, bind_pos int, id string, rest string"
+
+
+def test_whole_messages(spark, index):
+    """Equal edges between unresolved nodes become one and so do their bindings, with what else they carry; sets of nodes stay sets."""
+    nodes = [("dupe", 0, "N:1", "one", ["c"], None), ("dupe", 1, "N:2", "two", ["c"], None)]
+    nodes += [("set", 0, "MONDO:0005002", "d", ["c"], None), ("set", 1, "D:1", "x", ["c"], None), ("set", 2, "D:2", "y", ["c"], None)]
+    listed = [{"attribute_type_id": '"pubs"', "value": '["P:1", "P:2"]'}]
+    edges = [("dupe", k, f"E{k + 1}", "N:1", "p", "N:2", [attr("x")], None) for k in range(2)]
+    edges += [("set", k, f"T{k}", f"D:{k + 1}", "treats", "MONDO:0005002", listed, None) for k in range(2)]
+    bound = [("dupe", 0, k, f"q{k}", 0, f"N:{k + 1}", None, '{"coalescence_method": "graph", "p_values": []}') for k in range(2)]
+    bound += [("set", 0, 0, "disease", 0, "MONDO:0005002", None, None), ("set", 0, 1, "drug", 0, "D:1", None, None), ("set", 0, 1, "drug", 1, "D:2", None, None)]
+    links = [("dupe", 0, 0, 0, "e", k, f"E{2 - k}", '{"properties": null}') for k in range(2)] + [("set", 0, 0, 0, "treats", k, f"T{k}", None) for k in range(2)]
+    queried = [("dupe", "q0", ["N:1"], None), ("dupe", "q1", None, '{"is_set": true}'), ("set", "disease", ["DOID:3812"], None)]
+    message = graph.Message(
+        spark.createDataFrame(queried, "msg_id string, code string, ids array<string>, rest string"), spark.createDataFrame(nodes, NODES), spark.createDataFrame(edges, EDGES),
+        spark.createDataFrame(bound, NODE_BINDINGS), spark.createDataFrame(links, EDGE_BINDINGS),
+    )
+    out = graph.normalize_message(message, index)
+    rows = lambda name, *c: sorted(tuple(r) for r in out[name].select(*c).collect())
+    assert rows("qnodes", "msg_id", "code", F.to_json("ids"), "rest") == [("dupe", "q0", '["N:1"]', None), ("dupe", "q1", None, '{"is_set": true}'), ("set", "disease", '["MONDO:0005002"]', None)]
+    assert rows("edges", "msg_id", "edge_id") == [("dupe", "E1"), ("set", "T0"), ("set", "T1")]
+    assert rows("edge_bindings", "msg_id", "code", "id", "rest") == [("dupe", "e", "E1", '{"properties": null}'), ("set", "treats", "T0", None), ("set", "treats", "T1", None)]
+    assert rows("node_bindings", "msg_id", "code", "id") == [("dupe", "q0", "N:1"), ("dupe", "q1", "N:2"), ("set", "disease", "MONDO:0005002"), ("set", "drug", "D:1"), ("set", "drug", "D:2")]
+    assert out["results"].count() == 2 and out["nodes"].count() == 5
+    assert all("coalescence_method" in r["result"] for r in out["results"].filter("msg_id = 'dupe'").collect())
+
+
 def test_query_graph(spark, index):
     q = spark.createDataFrame([("m", "a", ["HGNC:11603", "NCBIGene:9496", "Q:1"], None), ("m", "b", None, None)], "msg_id string, code string, ids array<string>, rest string")
     got = {r["code"]: r["ids"] for r in graph.normalize_qgraph(q, index).collect()}
