@@ -7,11 +7,14 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 ROWS_PER_FILE = 250_000
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
 #: Tables that each application has written; frames that read them stay usable until :func:`release`.
 _WRITTEN: dict[str, list[str]] = {}
 
@@ -36,6 +39,17 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to Python workers by the thousand while a table is written; with whole texts a default batch takes tens of MB on either side."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def materialize(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
@@ -47,7 +61,8 @@ def materialize(df: DataFrame, label: str, rows: int | None = None) -> DataFrame
         df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     path = shared_path(df.sparkSession, label)
     _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
