@@ -11,6 +11,7 @@ from __future__ import annotations
 import array
 import os
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -52,14 +53,13 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+if array.array("I").itemsize != TOKEN_BYTES or sys.byteorder != "little":
+    raise RuntimeError("ids are packed by arrays, which need a little-endian platform with a 32-bit unsigned int")
+
+
 def pack_ids(ids: list[int]) -> bytes:
     """Little-endian unsigned 32-bit integers."""
-    out = array.array("I", ids)
-    if out.itemsize != TOKEN_BYTES:
-        raise RuntimeError("this platform has no 32-bit unsigned int")
-    if os.sys.byteorder != "little":
-        out.byteswap()
-    return out.tobytes()
+    return array.array("I", ids).tobytes()
 
 
 # A word of Latin letters, whose case and composition are the same everywhere, and then marks.
@@ -115,8 +115,9 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.memo = Memo(self._alone)
-        self.words: dict[str, bytes] = {}
+        self.words: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         self.keeps_space = bool(self._ids("a b") != self._ids("a  b"))
         self.lowers = self._ids("A") == self._ids("a")
         letters = byte_letters()
@@ -136,16 +137,17 @@ class PieceEncoder:
 
     def _pre_token(self, text: str, spaced: bool) -> bytes:
         """Ids of one pre-token; ``spaced``: a space leads it."""
-        key = " " + text if spaced else text
-        if (found := self.words.get(key)) is None:
-            if len(self.words) >= MEMO_WORDS:
-                self.words.clear()
-            lead = self.space if spaced else ""
-            spelt = lead + text if text.isascii() else lead + "".join(map(self.letters.__getitem__, text.encode().decode("latin-1")))
-            found = self.words[key] = pack_ids([x.id for x in self.tokenizer.model.tokenize(spelt)])
+        held = self.words[spaced]
+        if (found := held.get(text)) is None:
+            if len(held) >= MEMO_WORDS:
+                held.clear()
+            spelt = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode().decode("latin-1")))
+            found = held[text] = pack_ids([x.id for x in self.tokenize(self.space + spelt if spaced else spelt)])
         return found
 
     def _alone(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            return self._pre_token(piece.lower() if self.lowers else piece, self.keeps_space)
         if plain := PLAIN_PIECE.fullmatch(piece):
             feed, word, marks = plain.groups()
             if self.lowers:
