@@ -177,7 +177,8 @@ def key64_end(text: str, first: re.Match) -> int | None:
         have, at = have + len(more[1]), more.end()
         ends[have] = at
     if end is None:
-        end = openssh_end(decode64("".join(lines)[: LARGEST_KEY - LARGEST_KEY % 4 if have % 4 == 1 else have]) or b"")
+        # one letter over a multiple of four is no base64; the key may end before it
+        end = openssh_end(decode64("".join(lines)[: have - (have % 4 == 1)]) or b"")
         if end is None:
             return None
         wanted = -(-end * 4 // 3)

@@ -132,6 +132,8 @@ def test_other_spellings_of_keys():
             [(start, kind, end)] = [x for x in secrets.confirmed_spans("key:\n" + text + "and then more words") if x[1] == 5]
             assert start == 5 and secrets.KINDS[kind] == "key64"
             assert base64.b64decode(("key:\n" + text)[start:end].replace("\\n", "")) == data
+            for tail in ("word\n", "words\n", "a\nsingle\n"):
+                assert "key64" in kinds("key:\n" + text.rstrip() + "\n" + tail)
             assert "key64" not in kinds(text[:-12] + "\nnext")
         escaped = lines.replace("\n", "\\n")
         assert kinds('{"k": "-----BEGIN PRIVATE KEY-----\\n' + escaped + '-----END PRIVATE KEY-----"}') == ["pem"]
