@@ -7,7 +7,7 @@ format, which has each frame's compressed size, decompressed size and a checksum
 of XXH64). A reader needs the end of the file and the frames of the documents it wants.
 
 Defined results: null and empty texts are documents of the end id alone; null ids come first;
-repeated ids are written one after another in the order of a hash of their texts; a very long text is one
+repeated ids are written one after another in the order of the input; a very long text is one
 document in a frame of its own size; an empty table gives no file and no rows; other columns are neither
 read nor returned.
 """
@@ -182,8 +182,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
     """Write ``docs`` in ascending order of ``doc_id``, one file per range; returns the manifest.
 
     Without ``n_files`` there are as many as keep a file's share of texts and documents below ``FILE_BYTES``
-    and ``FILE_DOCS``, and no fewer than shuffle partitions. Ranges go by id and text, so that rows
-    without an id, or of one id, can be in several files.
+    and ``FILE_DOCS``, and no fewer than shuffle partitions. Ranges go by id and place in the input, so that
+    rows without an id, or of one id, can be in several files.
     """
     path, end = tokenizer_path or tokens.word_bpe_path(), tokens.pack_ids([end_id])
     spark = docs.sparkSession
@@ -213,8 +213,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
             publish(temporary, final)
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [final], "n_docs": [len(out.docs)], "n_tokens": [sum(out.counts)], "n_frames": [len(out.seek)]})
 
-    keyed = texts(docs).withColumn("h", F.xxhash64("text"))
-    ordered = keyed.repartitionByRange(n_files, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
+    # a number of the row's own costs no reading of texts when ranges are sampled
+    keyed = texts(docs).withColumn("row", F.monotonically_increasing_id())
+    ordered = keyed.repartitionByRange(n_files, "doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
     return materialize(ordered.mapInArrow(write, MANIFEST), "token-files")
 
 
